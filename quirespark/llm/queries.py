@@ -7,13 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import budget, encoding
+from . import budget, encoding, repeated_lines
 
 
 def p3_tokens(spark: SparkSession, d: str) -> DataFrame:
     return budget.token_budget(table(spark, d, "documents"), table(spark, d, "translation_units"), table(spark, d, "cost_estimates"))
 
 
+def p6_found(spark: SparkSession, d: str) -> DataFrame:
+    pages = repeated_lines.page_lines(table(spark, d, "text_primitives"))
+    return pages.unionByName(repeated_lines.document_lines(table(spark, d, "documents")))
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(table(spark, d, "documents"))
 
@@ -23,4 +28,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"p6_found": repeated_lines.FOUND_SQL}

@@ -7,7 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import budget, encoding, repeated_lines
+from . import budget, encoding, packing, repeated_lines
+
+
+def p1_requests(spark: SparkSession, d: str) -> DataFrame:
+    return packing.pack(table(spark, d, "translation_units"), table(spark, d, "request_limits"))
 
 
 def p3_tokens(spark: SparkSession, d: str) -> DataFrame:

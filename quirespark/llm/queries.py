@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import budget, encoding, packing, repeated_lines
+from . import budget, confusables, encoding, packing, repeated_lines
 
 
 def p1_requests(spark: SparkSession, d: str) -> DataFrame:
@@ -18,6 +18,14 @@ def p3_tokens(spark: SparkSession, d: str) -> DataFrame:
     return budget.token_budget(table(spark, d, "documents"), table(spark, d, "translation_units"), table(spark, d, "cost_estimates"))
 
 
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return confusables.found(table(spark, d, "text_primitives"), table(spark, d, "inline_nodes"))
+
+
+def p5_usual_forms(spark: SparkSession, d: str) -> DataFrame:
+    return confusables.usual_forms(table(spark, d, "text_primitives"), table(spark, d, "inline_nodes"))
+
+
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
     pages = repeated_lines.page_lines(table(spark, d, "text_primitives"))
     return pages.unionByName(repeated_lines.document_lines(table(spark, d, "documents")))

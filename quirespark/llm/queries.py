@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import budget, confusables, encoding, packing, repeated_lines
+from . import budget, confusables, encoding, language, packing, repeated_lines
 
 
 def p1_requests(spark: SparkSession, d: str) -> DataFrame:
@@ -35,6 +35,14 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(table(spark, d, "documents"))
 
 
+def p9_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.found(table(spark, d, "documents"))
+
+
+def p9_languages(spark: SparkSession, d: str) -> DataFrame:
+    return language.languages(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 

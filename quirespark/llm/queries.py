@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import budget, confusables, encoding, language, packing, repeated_lines
+from . import budget, confusables, encoding, language, leaks, packing, repeated_lines
 
 
 def p1_requests(spark: SparkSession, d: str) -> DataFrame:
@@ -35,6 +35,14 @@ def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(table(spark, d, "documents"))
 
 
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.found(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
+def p8_removal_spans(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.removal_spans(table(spark, d, "documents"), table(spark, d, "eval_items"))
+
+
 def p9_found(spark: SparkSession, d: str) -> DataFrame:
     return language.found(table(spark, d, "documents"))
 

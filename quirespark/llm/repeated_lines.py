@@ -30,10 +30,14 @@ CAPACITY = 2048
 BROADCAST_KEYS = 200_000
 
 
-def line_key(line: Column) -> Column:
-    """The letters of a line in lower case, hashed; NULL where there are none."""
-    letters = F.regexp_replace(F.lower(line), r"[^\p{L}]+", "")
-    return F.when(letters != "", F.xxhash64(letters))
+def letters(text: Column) -> Column:
+    """The letters of each line of a text in lower case; NULL counts as empty."""
+    return F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\n]+", "")
+
+
+def has_letters(key: Column) -> Column:
+    """False for the key of a line without letters."""
+    return key != F.xxhash64(F.lit(""))
 
 
 def _thin(counts: Counter, spare: float) -> float:
@@ -109,12 +113,12 @@ def repeated_lines(lines: DataFrame, keyed: DataFrame, totals: DataFrame, share:
         .checkpoint()
     )
     small = candidates.count() <= BROADCAST_KEYS
-    hits = _pair(lines, candidates, ["grp", "key"], small)
+    hits = _pair(lines, candidates, ["grp", "key"], small).checkpoint()
     once = hits.groupBy("grp", "key", "docs", "doc").agg(F.lit(1).alias("one"))
     exact = once.groupBy("grp", "key", "docs").agg(F.sum("one").alias("n"))
     confirmed = exact.where((F.col("n") >= least) & (F.col("n") >= share * F.col("docs") - 1e-9)).select("grp", "key")
     confirmed = confirmed.checkpoint()
-    return _pair(lines, confirmed, ["grp", "key"], small).select("grp", "doc", "item")
+    return _pair(hits, confirmed, ["grp", "key"], small).select("grp", "doc", "item")
 
 
 def page_lines(primitives: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
@@ -124,10 +128,10 @@ def page_lines(primitives: DataFrame, share: float = SHARE, least: int = LEAST)
     Repeated rows count once; rows with NULL key columns are left out.
     """
     p = primitives.select("doc_id", "page_number", "primitive_id", "text").where(F.col("doc_id").isNotNull())
-    p = p.withColumn("key", line_key("text")).select(F.col("doc_id").alias("grp"), F.col("page_number").alias("page"), F.col("primitive_id").alias("item"), "key")
-    pages = p.groupBy("grp", "page").agg(F.collect_set("key").alias("keys"))
+    p = p.withColumn("key", F.xxhash64(F.replace(letters(F.col("text")), F.lit("\n"), F.lit("")))).select(F.col("doc_id").alias("grp"), F.col("page_number").alias("page"), F.col("primitive_id").alias("item"), "key")
+    pages = p.groupBy("grp", "page").agg(F.collect_set(F.when(has_letters(F.col("key")), F.col("key"))).alias("keys"))
     totals = p.groupBy("grp").agg(F.count_distinct("page").alias("docs"))
-    lines = p.where(F.col("key").isNotNull() & F.col("item").isNotNull()).select("grp", F.col("page").cast("string").alias("doc"), "item", "key")
+    lines = p.where(has_letters(F.col("key")) & F.col("item").isNotNull()).select("grp", F.col("page").cast("string").alias("doc"), "item", "key")
     found = repeated_lines(lines, pages.where(F.col("page").isNotNull()), totals, share, least)
     return found.select(F.lit("page_line").alias("record_kind"), F.col("grp").alias("doc_key"), F.col("item").alias("item_key")).distinct()
 
@@ -138,11 +142,11 @@ def document_lines(documents: DataFrame, share: float = SHARE, least: int = LEAS
     Documents with NULL or empty text count; NULL sources are left out.
     """
     d = documents.where(F.col("source").isNotNull()).select("source", "doc_id", "text")
-    keyed = d.select(F.col("source").alias("grp"), "doc_id", F.transform(F.split("text", "\n", -1), line_key).alias("all"))
-    lines = keyed.select("grp", F.col("doc_id").cast("string").alias("doc"), F.posexplode("all").alias("pos", "key")).where(F.col("key").isNotNull())
+    keyed = d.select(F.col("source").alias("grp"), "doc_id", F.transform(F.split(letters(F.col("text")), "\n", -1), lambda line: F.xxhash64(line)).alias("all"))
+    lines = keyed.select("grp", F.col("doc_id").cast("string").alias("doc"), F.posexplode("all").alias("pos", "key")).where(has_letters(F.col("key")))
     lines = lines.select("grp", "doc", F.concat_ws(":", "doc", F.col("pos") + 1).alias("item"), "key")
     totals = d.groupBy(F.col("source").alias("grp")).agg(F.count(F.lit(1)).alias("docs"))
-    found = repeated_lines(lines, keyed.select("grp", F.array_distinct(F.array_compact("all")).alias("keys")), totals, share, least)
+    found = repeated_lines(lines, keyed.select("grp", F.array_remove(F.array_distinct("all"), F.xxhash64(F.lit(""))).alias("keys")), totals, share, least)
     return found.select(F.lit("document_line").alias("record_kind"), F.col("grp").alias("doc_key"), F.col("item").alias("item_key"))
 
 

@@ -7,13 +7,17 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import budget, confusables, encoding, language, leaks, packing, repeated_lines
+from . import budget, confusables, encoding, language, leaks, packing, pairs, repeated_lines
 
 
 def p1_requests(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "translation_units"), table(spark, d, "request_limits"))
 
 
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    return pairs.found(table(spark, d, "translation_units"), table(spark, d, "translated_nodes"), table(spark, d, "documents"))
+
+
 def p3_tokens(spark: SparkSession, d: str) -> DataFrame:
     return budget.token_budget(table(spark, d, "documents"), table(spark, d, "translation_units"), table(spark, d, "cost_estimates"))
 

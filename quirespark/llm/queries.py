@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..sources.tables import table
-from . import budget, confusables, encoding, language, leaks, packing, pairs, repeated_lines
+from . import alignment, budget, confusables, encoding, language, leaks, packing, pairs, repeated_lines
 
 
 def p1_requests(spark: SparkSession, d: str) -> DataFrame:
@@ -22,6 +22,10 @@ def p3_tokens(spark: SparkSession, d: str) -> DataFrame:
     return budget.token_budget(table(spark, d, "documents"), table(spark, d, "translation_units"), table(spark, d, "cost_estimates"))
 
 
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return alignment.found(table(spark, d, "inline_nodes"), table(spark, d, "navigation"))
+
+
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return confusables.found(table(spark, d, "text_primitives"), table(spark, d, "inline_nodes"))
 

@@ -160,6 +160,7 @@ def extend(doc: np.ndarray, at: int, passage: np.ndarray, off: int) -> tuple[int
 
 def search_shard(passages: Passages, ids: np.ndarray, sizes: np.ndarray) -> list[tuple[int, int, int, int]]:
     """(document, item, from word, to word) of every passage part of ``WORDS`` words in a shard."""
+    ids = ids.astype(np.int64)
     begin, end = passages.runs(ids, sizes)
     if not len(begin) or not len(passages.phrases):
         return []

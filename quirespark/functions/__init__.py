@@ -1 +1 @@
-"""See the README for what belongs here."""
+"""Scalar functions as Column expressions; Arrow functions only where Spark has no built-in."""

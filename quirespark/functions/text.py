@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # What the rules of the domain are made of.
 BULLETS = ("•", "–", "-", "▶")
@@ -34,7 +35,7 @@ def undecorate(c: Column) -> Column:
     return F.when(F.contains(c, F.lit("{")) & F.contains(c, F.lit("}")), F.translate(c, "{}*", "   ")).otherwise(c)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def compose(texts: pd.Series) -> pd.Series:
     """Canonical composition (NFC)."""
     return texts.map(lambda t: t if t is None or t.isascii() else unicodedata.normalize("NFC", t))
@@ -138,7 +139,7 @@ def font_family(c: Column) -> Column:
     return F.substring_index(c, "-", 1)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def slug(texts: pd.Series) -> pd.Series:
     """Lower-case ASCII name of at most 60 characters; ``anchor`` where nothing is left."""
     import re

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as t
 from ..functions.ids import block_id
@@ -117,8 +119,8 @@ def join_lines(lines):
     return t.squeeze(F.aggregate(lines, F.lit("").cast("string"), step))
 
 
-@F.pandas_udf("string")
-def without_repeats(texts):
+@F.pandas_udf(T.StringType())
+def without_repeats(texts: pd.Series) -> pd.Series:
     """Immediate repeats of one to four words are dropped, longer ones first; each pair is collapsed once."""
 
     def one(text: str | None) -> str | None:

@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions import text as t
 from ..functions.ids import fingerprint, inline_id, unit_id
@@ -206,7 +207,7 @@ def run_summary(results: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("failed") == 0, "completed").when(F.col("completed") > 0, "partial").otherwise("failed"))
 
 
-@F.pandas_udf("array<struct<start: int, end: int, term: string>>")
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("term", T.StringType())])))
 def _links(texts: pd.Series, pack: pd.Series) -> pd.Series:
     import re
 

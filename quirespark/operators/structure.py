@@ -111,11 +111,15 @@ def merge_runs(spans: DataFrame) -> DataFrame:
 def join_lines(lines):
     """Lines of a block as one text; what a line repeats of the end of the last one (more than two characters) is dropped."""
 
-    def step(acc, x):
-        sizes = F.filter(F.sequence(F.lit(0), F.least(F.length(acc), F.length(x))), lambda k: (k > 2) & (F.right(acc, k) == F.left(x, k)))
+    def glue(acc, x, tail):
+        sizes = F.filter(F.sequence(F.lit(0), F.least(F.length(tail), F.length(x))), lambda k: (k > 2) & (F.right(tail, k) == F.left(x, k)))
         k = F.array_max(sizes)
         return F.when(acc == "", x).when(k.isNotNull(), F.concat(acc, F.substring(x, k + 1, F.length(x)))).otherwise(F.concat_ws(" ", acc, x))
 
+    def step(acc, x):
+        # The end of the text so far is cut off once a line, not once a candidate length.
+        return F.transform(F.array(F.right(acc, F.length(x))), lambda tail: glue(acc, x, tail))[0]
+
     return t.squeeze(F.aggregate(lines, F.lit("").cast("string"), step))
 
 

@@ -1 +1 @@
-"""See the README for what belongs here."""
+"""Queries on the driver's tables, their SQL checks, and the plan of stages."""

@@ -1 +1 @@
-"""See the README for what belongs here."""
+"""Streams: an extension, the domain itself is batch only."""

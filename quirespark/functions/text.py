@@ -25,6 +25,15 @@ DINGBATS = r"[─-➿⭐-⭟-]"
 SENTENCE_ENDS = ".!?:;)\"'"
 
 
+def let(value: Column, use) -> Column:
+    """``use(value)`` with ``value`` evaluated once a row.
+
+    Catalyst copies an expression to every place that refers to it, and
+    conditional branches are not shared; a lambda variable is bound once.
+    """
+    return F.transform(F.array(value), use)[0]
+
+
 def squeeze(c: Column) -> Column:
     """Runs of white space (no-break spaces too) become one space; none at the ends."""
     return F.regexp_replace(F.regexp_replace(c, r"(?U)\s+", " "), "^ | $", "")
@@ -96,29 +105,29 @@ def has_dingbat(c: Column) -> Column:
 
 def is_noise(c: Column) -> Column:
     """Empty, numeric, very short or code-like text, and text of one repeated character."""
-    t = squeeze(F.coalesce(c, F.lit("")))
-    word = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]", ""))
-    one = F.length(F.replace(F.lower(t), F.substring(F.lower(t), 1, 1), F.lit(""))) == 0
-    return (
-        (t == "")
-        | F.rlike(t, F.lit(r"^\d+$"))
-        | (F.length(t) <= 2)
-        | F.rlike(t, F.lit(CARD_CODE))
-        | F.rlike(t, F.lit(GRID_CODE))
-        | F.rlike(t, F.lit(ROMAN_RUN))
-        | ((F.length(t) >= 4) & ((word < 0.5 * F.length(t)) | one))
-    )
+
+    def test(t: Column) -> Column:
+        word = F.length(F.regexp_replace(t, r"[^\p{L}\p{N}]", ""))
+        one = F.length(F.replace(F.lower(t), F.substring(F.lower(t), 1, 1), F.lit(""))) == 0
+        return (F.length(t) <= 2) | F.rlike(t, F.lit(rf"^\d+$|{CARD_CODE}|{GRID_CODE}|{ROMAN_RUN}")) | ((F.length(t) >= 4) & ((word < 0.5 * F.length(t)) | one))
+
+    return let(squeeze(F.coalesce(c, F.lit(""))), test)
 
 
 def is_label(c: Column) -> Column:
     """A short title: at most six words, all capitals, one capitalised word, or all words capitalised."""
-    t = squeeze(F.coalesce(c, F.lit("")))
-    words = F.split(t, " ")
-    bare = F.transform(words, lambda w: F.btrim(w, F.lit(",.;:!?")))
-    alpha = F.filter(bare, lambda w: F.rlike(w, F.lit(r"^\p{L}")))
-    capital = F.forall(alpha, lambda w: F.rlike(w, F.lit(r"^\p{Lu}")))
-    upper = F.rlike(t, F.lit(r"\p{L}")) & (F.upper(t) == t)
-    return F.rlike(t, F.lit(r"^\p{L}")) & (F.size(words) <= 6) & (upper | (capital & ((F.size(words) == 1) | (F.size(alpha) >= 2))))
+
+    def words_fit(t: Column, words: Column) -> Column:
+        bare = F.transform(words, lambda w: F.btrim(w, F.lit(",.;:!?")))
+        alpha = F.filter(bare, lambda w: F.rlike(w, F.lit(r"^\p{L}")))
+        upper = F.rlike(t, F.lit(r"\p{L}")) & (F.upper(t) == t)
+        titled = let(alpha, lambda ws: F.forall(ws, lambda w: F.rlike(w, F.lit(r"^\p{Lu}"))) & ((F.size(words) == 1) | (F.size(ws) >= 2)))
+        return (F.size(words) <= 6) & (upper | titled)
+
+    def test(t: Column) -> Column:
+        return F.rlike(t, F.lit(r"^\p{L}")) & let(F.split(t, " "), lambda words: words_fit(t, words))
+
+    return let(squeeze(F.coalesce(c, F.lit(""))), test)
 
 
 def is_heading(text: Column, size: Column, body: Column, ratio: float = 1.15, longest: int = 200) -> Column:
@@ -129,10 +138,12 @@ def is_heading(text: Column, size: Column, body: Column, ratio: float = 1.15, lo
 
 def continues(c: Column) -> Column:
     """Whether what follows belongs to this text: it is no title and does not end like a sentence."""
-    t = squeeze(F.coalesce(c, F.lit("")))
-    last = F.right(t, F.lit(1))
-    ended = F.contains(F.lit(SENTENCE_ENDS), last)
-    return (t == "") | (~is_label(t) & ((F.length(t) < 10) | (last == "-") | F.rlike(t, F.lit(r"^\p{Ll}")) | ~ended))
+
+    def test(t: Column) -> Column:
+        ended = F.contains(F.lit(SENTENCE_ENDS), F.right(t, F.lit(1)))
+        return (t == "") | (((F.length(t) < 10) | (F.right(t, F.lit(1)) == "-") | F.rlike(t, F.lit(r"^\p{Ll}")) | ~ended) & ~is_label(t))
+
+    return let(squeeze(F.coalesce(c, F.lit(""))), test)
 
 
 def font_family(c: Column) -> Column:

@@ -137,8 +137,10 @@ def reading_order(found: DataFrame) -> DataFrame:
 
 
 def unassigned(found: DataFrame, order: DataFrame) -> DataFrame:
-    """Regions that the reading order leaves out."""
-    return found.join(order, [*PAGE, "region_id"], "left_anti").select(*PAGE, "region_id")
+    """Regions that the reading order leaves out; a band stands for its columns where it has any."""
+    columns = found.where("kind_hint = 'column'").select(*PAGE, "band_index", F.lit("band").alias("kind_hint")).distinct()
+    left = found.join(order, [*PAGE, "region_id"], "left_anti")
+    return left.join(columns, [*PAGE, "band_index", "kind_hint"], "left_anti").select(*PAGE, "region_id")
 
 
 def page_confidence(found: DataFrame, order: DataFrame, page_furniture: DataFrame) -> DataFrame:
@@ -148,6 +150,7 @@ def page_confidence(found: DataFrame, order: DataFrame, page_furniture: DataFram
     """
     r = found.groupBy(*PAGE).agg(
         F.min("confidence").alias("region_min"), F.count(F.lit(1)).alias("regions"), F.coalesce(F.max("column_count"), F.lit(1)).alias("columns"),
+        F.count_distinct(F.when(F.col("kind_hint") == "column", F.col("band_index"))).alias("structural"),
         *[F.max((F.col("kind_hint") == k).cast("int")).alias("has_" + k) for k in ("table", "figure", "callout")],
     )
     o = order.groupBy(*PAGE).agg(F.min("confidence").alias("order_min"), F.count(F.lit(1)).alias("ordered"))
@@ -156,7 +159,7 @@ def page_confidence(found: DataFrame, order: DataFrame, page_furniture: DataFram
     lost = (
         (1 - F.col("region_min")) * 0.25
         + (1 - F.coalesce("order_min", F.lit(1.0))) * 0.25
-        + (F.col("regions") - F.coalesce("ordered", F.lit(0))) / F.col("regions") * 0.15
+        + (F.col("regions") - F.coalesce("ordered", F.lit(0)) - F.col("structural")) / F.col("regions") * 0.15
         + F.when(F.col("columns") <= 1, 0.0).when(F.col("columns") == 2, 0.3).otherwise(0.6) * 0.15
         + (F.col("has_table") + F.col("has_figure") + F.col("has_callout")) * 0.2 * 0.1
         + F.least(F.greatest(F.coalesce("furniture_fraction", F.lit(0.0)) - 0.5, F.lit(0.0)) * 2, F.lit(1.0)) * 0.1

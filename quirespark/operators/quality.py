@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ids import issue_id
+from . import layout
 
 
 def _issue(df: DataFrame, rule: str, severity, category: str, item: str, message) -> DataFrame:
@@ -70,7 +71,7 @@ def order_checks(regions: DataFrame, order: DataFrame) -> DataFrame:
     page = ["doc_id", "page_number"]
     gaps = order.groupBy(*page).agg(F.min("sequence_index").alias("a"), F.max("sequence_index").alias("b"), F.count_distinct("sequence_index").alias("d"), F.count(F.lit(1)).alias("n")).where("a <> 0 OR b <> n - 1 OR d <> n").withColumn("item", F.lit("order"))
     lost = order.join(regions.select(*page, "region_id"), [*page, "region_id"], "left_anti")
-    left = regions.join(order.select(*page, "region_id"), [*page, "region_id"], "left_anti")
+    left = layout.unassigned(regions, order)
     a = _issue(gaps, "extraction.reading_order", "error", "extraction", "item", "sequence is not contiguous")
     return a.unionByName(_issue(lost, "extraction.reading_order", "error", "extraction", "region_id", "unknown region")).unionByName(_issue(left, "extraction.reading_order", "warning", "extraction", "region_id", "region is not in the order"))
 

@@ -34,16 +34,19 @@ def classify(texts: DataFrame, ratio: float = 1.15) -> DataFrame:
     """
     body = body_sizes(texts)
     clean = t.squeeze(t.undecorate(t.plain_letters(F.coalesce("text", F.lit("")))))
-    joined = texts.join(body, "doc_id", "left").withColumn("body_size", F.coalesce("body_size", F.lit(BODY_SIZE))).withColumn("clean", clean)
-    c = F.col("clean")
-    kind = (
-        F.when(t.is_noise(c) | t.is_page_header(c), "skip")
-        .when(t.bullet(c) != "", "list_item")
-        .when(t.is_heading(c, F.coalesce("font_size", F.lit(0.0)), F.col("body_size"), ratio), "heading")
-        .when(t.is_caption(c), "caption")
-        .otherwise("paragraph")
-    )
-    return joined.withColumn("kind_hint", kind)
+    joined = texts.join(body, "doc_id", "left").withColumn("body_size", F.coalesce("body_size", F.lit(BODY_SIZE)))
+
+    def kind(c):
+        return (
+            F.when(t.is_page_header(c) | t.is_noise(c), "skip")
+            .when(t.bullet(c) != "", "list_item")
+            .when(t.is_heading(c, F.coalesce("font_size", F.lit(0.0)), F.col("body_size"), ratio), "heading")
+            .when(t.is_caption(c), "caption")
+            .otherwise("paragraph")
+        )
+
+    both = t.let(clean, lambda c: F.struct(c.alias("clean"), kind(c).alias("kind_hint")))
+    return joined.withColumn("__both", both).select(*joined.columns, "__both.clean", "__both.kind_hint")
 
 
 def list_runs(classified: DataFrame) -> DataFrame:

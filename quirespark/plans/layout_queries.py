@@ -105,7 +105,7 @@ def unassigned_regions(spark: SparkSession, d: str) -> DataFrame:
     return layout.unassigned(r, layout.reading_order(r))
 
 
-UNASSIGNED_SQL = f"WITH {sql.ORDER} SELECT doc_id, page_number, region_id FROM r WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.doc_id = r.doc_id AND o.page_number = r.page_number AND o.region_id = r.region_id)"
+UNASSIGNED_SQL = f"WITH {sql.ORDER} SELECT doc_id, page_number, region_id FROM r WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.doc_id = r.doc_id AND o.page_number = r.page_number AND o.region_id = r.region_id) AND NOT (kind_hint = 'band' AND EXISTS (SELECT 1 FROM cc WHERE cc.doc_id = r.doc_id AND cc.page_number = r.page_number AND cc.band_index = r.band_index))"
 
 
 def page_confidence(spark: SparkSession, d: str) -> DataFrame:
@@ -115,8 +115,8 @@ def page_confidence(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "page_number", *_rounded("confidence"), "route")
 
 
-CONFIDENCE_SQL = f"""WITH {sql.ORDER}, {_PF.replace(sql.PRIMS + ', ', '', 1)}, a AS (SELECT doc_id, page_number, min(confidence) AS rm, count(*) AS n, coalesce(max(column_count), 1) AS cols FROM r GROUP BY ALL), q AS (SELECT doc_id, page_number, min(confidence) AS om, count(*) AS m FROM o GROUP BY ALL),
-s AS (SELECT a.doc_id, a.page_number, greatest(0, least(1, 1 - ((1 - rm) * 0.25 + (1 - coalesce(om, 1)) * 0.25 + (n - coalesce(m, 0)) / n * 0.15 + CASE WHEN cols <= 1 THEN 0.0 WHEN cols = 2 THEN 0.3 ELSE 0.6 END * 0.15 + least(greatest(coalesce(furniture_fraction, 0) - 0.5, 0) * 2, 1) * 0.1))) AS c
+CONFIDENCE_SQL = f"""WITH {sql.ORDER}, {_PF.replace(sql.PRIMS + ', ', '', 1)}, a AS (SELECT doc_id, page_number, min(confidence) AS rm, count(*) AS n, coalesce(max(column_count), 1) AS cols, count(DISTINCT CASE WHEN kind_hint = 'column' THEN band_index END) AS st FROM r GROUP BY ALL), q AS (SELECT doc_id, page_number, min(confidence) AS om, count(*) AS m FROM o GROUP BY ALL),
+s AS (SELECT a.doc_id, a.page_number, greatest(0, least(1, 1 - ((1 - rm) * 0.25 + (1 - coalesce(om, 1)) * 0.25 + (n - coalesce(m, 0) - st) / n * 0.15 + CASE WHEN cols <= 1 THEN 0.0 WHEN cols = 2 THEN 0.3 ELSE 0.6 END * 0.15 + least(greatest(coalesce(furniture_fraction, 0) - 0.5, 0) * 2, 1) * 0.1))) AS c
  FROM a LEFT JOIN q USING (doc_id, page_number) LEFT JOIN pf USING (doc_id, page_number))
 SELECT doc_id, page_number, round(CAST(c AS DOUBLE), 6) AS confidence, CASE WHEN c >= 0.6 THEN 'semantic' WHEN c >= 0.3 THEN 'hybrid' ELSE 'facsimile' END AS route FROM s"""
 

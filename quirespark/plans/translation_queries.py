@@ -270,7 +270,7 @@ def graph_issues(spark: SparkSession, d: str) -> DataFrame:
 
 GRAPH_SQL = f"""WITH {sql.ORDER}, lo AS (SELECT * FROM o WHERE band_index <> 1), g AS (SELECT doc_id, page_number FROM lo GROUP BY ALL HAVING min(sequence_index) <> 0 OR max(sequence_index) <> count(*) - 1 OR count(DISTINCT sequence_index) <> count(*))
 SELECT 'extraction.reading_order' AS rule_id, 'error' AS severity, 'extraction' AS category, doc_id, page_number, 'order' AS item, 'sequence is not contiguous' AS message FROM g
-UNION ALL SELECT 'extraction.reading_order', 'warning', 'extraction', doc_id, page_number, region_id, 'region is not in the order' FROM r WHERE NOT EXISTS (SELECT 1 FROM lo WHERE lo.doc_id = r.doc_id AND lo.page_number = r.page_number AND lo.region_id = r.region_id)"""
+UNION ALL SELECT 'extraction.reading_order', 'warning', 'extraction', doc_id, page_number, region_id, 'region is not in the order' FROM (SELECT *, max(CASE WHEN kind_hint = 'column' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page_number, band_index) = 1 AS has_columns FROM r) r WHERE NOT EXISTS (SELECT 1 FROM lo WHERE lo.doc_id = r.doc_id AND lo.page_number = r.page_number AND lo.region_id = r.region_id) AND NOT (kind_hint = 'band' AND has_columns)"""
 
 
 def glossary_drawer(spark: SparkSession, d: str) -> DataFrame:

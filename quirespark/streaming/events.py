@@ -14,7 +14,7 @@ def hourly(events: DataFrame) -> DataFrame:
 
 def read_stream(spark: SparkSession, folder: str, schema, late: str = "2 hours") -> DataFrame:
     """A folder of Parquet files as a stream; rows later than ``late`` are dropped by stateful operators."""
-    return spark.readStream.schema(schema).parquet(folder).withWatermark("ts", late)
+    return spark.readStream.schema(schema).parquet(folder).withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late)
 
 
 def first_results(stream: DataFrame, keys: list[str], time: str = "finished_at", late: str = "2 hours") -> DataFrame:

@@ -116,27 +116,30 @@ def usual_words(text: str, lone: dict[str, str] | None = None) -> str:
     original of the same skeleton.
     """
     words = list(_WORD.finditer(text))
-    kinds = [_scripts(m.group()) for m in words]
+    news = [m.group() for m in words]
+    kinds = [_scripts(w) for w in news]
+    # Words of several alphabets first: what they become is what stands around the others.
+    for k, (word, kind) in enumerate(zip(news, kinds)):
+        if len(kind) > 1:
+            own = lambda t: sum(script(c) == t and c not in PROTOTYPE and c not in TO_CYRILLIC for c in word)  # noqa: B023, E731
+            fits = [w for t in sorted(kind, key=lambda t: (-own(t), -kind[t])) if (w := _stand_in(word, t)) is not None]  # noqa: B023
+            if fits:
+                news[k], kinds[k] = fits[0], _scripts(fits[0])
     out, at = [], 0
     for k, m in enumerate(words):
-        word, kind = m.group(), kinds[k]
-        new = word
-        if len(kind) > 1:
-            fits = [w for t in sorted(kind, key=lambda t: (-sum(script(c) == t and c not in PROTOTYPE and c not in TO_CYRILLIC for c in word), -kind[t])) if (w := _stand_in(word, t)) is not None]
-            new = fits[0] if fits else word
-        elif kind:
+        new, kind = news[k], kinds[k]
+        if len(kind) == 1 and new == m.group():
             own = next(iter(kind))
             # A single Greek letter is a symbol and says nothing about its neighbours.
-            near = [kinds[i] for i in (k - 1, k + 1) if 0 <= i < len(words) and kinds[i] and not (kinds[i]["G"] and len(words[i].group()) == 1)]
-            others = {next(iter(n)) for n in near if len(n) == 1}
+            near = [kinds[i] for i in (k - 1, k + 1) if 0 <= i < len(words) and kinds[i] and not (kinds[i]["G"] and len(news[i]) == 1)]
             if near and not any(own in n for n in near):
-                for t in sorted(others):
-                    new = _stand_in(word, t) or new
+                for t in sorted({next(iter(n)) for n in near if len(n) == 1}):
+                    new = _stand_in(m.group(), t) or new
             elif not near or len(words) == 1:
-                if own == "C" and RARE.intersection(word):
-                    new = _stand_in(word, "L") or word
+                if own == "C" and RARE.intersection(new):
+                    new = _stand_in(new, "L") or new
                 elif lone:
-                    new = lone.get(word, word)
+                    new = lone.get(new, new)
         out += [text[at : m.start()], new]
         at = m.end()
     return "".join([*out, text[at:]])

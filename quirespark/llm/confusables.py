@@ -119,10 +119,14 @@ def usual_words(text: str, lone: dict[str, str] | None = None) -> str:
     news = [m.group() for m in words]
     kinds = [_scripts(w) for w in news]
     # Words of several alphabets first: what they become is what stands around the others.
+    # Its alphabet is that of the letters that look like no other, not Cyrillic where
+    # a letter is neither Russian nor Ukrainian, and else that of its neighbours.
+    around = [set(k) for k in kinds]
     for k, (word, kind) in enumerate(zip(news, kinds)):
         if len(kind) > 1:
+            beside = Counter(s for i in (k - 1, k + 1) if 0 <= i < len(words) and len(around[i]) == 1 for s in around[i])
             own = lambda t: sum(script(c) == t and c not in PROTOTYPE and c not in TO_CYRILLIC for c in word)  # noqa: B023, E731
-            fits = [w for t in sorted(kind, key=lambda t: (-own(t), -kind[t])) if (w := _stand_in(word, t)) is not None]  # noqa: B023
+            fits = [w for t in sorted(kind, key=lambda t: (-own(t), t == "C" and bool(RARE.intersection(word)), -beside[t], -kind[t])) if (w := _stand_in(word, t)) is not None]  # noqa: B023
             if fits:
                 news[k], kinds[k] = fits[0], _scripts(fits[0])
     out, at = [], 0

@@ -6,7 +6,7 @@ from .common import rows
 
 CHANGED = {
     "Draw 5 cards as shоwn": "Draw 5 cards as shown", "choose а companion": "choose a companion", "KESHRAS ОАТН": "KESHRAS OATH", "рядом c картой": "рядом с картой", "shufﬂe": "shuffle", "Pelñar": "Pelñar", "Ѕеіѕеі": "Seisei",
-    "Koгдa": "Когда", "Обет Boppac": "Обет Воррас", "Draw １９": "Draw 19", "a b": "a b", "a　b": "a b", "st­orm": "storm", "z​ero": "zero", "﻿x": "x", "Keep": "Keep", "Gate⁠": "Gate", "GULZАR МАЅК": "GULZAR MASK", "Rükesh Маѕk": "Rükesh Mask", "the Маcк": "the Mack",
+    "Koгдa": "Когда", "Обет Boppac": "Обет Воррас", "Draw １９": "Draw 19", "a b": "a b", "a　b": "a b", "st­orm": "storm", "z​ero": "zero", "﻿x": "x", "Keep": "Keep", "Gate⁠": "Gate", "GULZАR МАЅК": "GULZAR MASK", "Rükesh Маѕk": "Rükesh Mask",
 }
 KEPT = ["(греч. «λόγος»)", "(δ = 3)", "Ω a", "👩‍🚀 x", "🧙‍♂ a", "½ ² ™ № 45°", "“quoted” — … • –", "Pelñar", "phase лежит", "по-русски: как", "Ёлка й", "", "12", "naïve"]
 

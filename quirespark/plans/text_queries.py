@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import ids
 from ..functions import text as t
 from ..operators import primitives, structure
+from ..session import spread
 from ..sources.tables import table
 from . import sql
 
@@ -18,7 +19,7 @@ def prims(spark: SparkSession, d: str) -> DataFrame:
 
 def cost_estimate_by_source(spark: SparkSession, d: str) -> DataFrame:
     """Dry-run cost of each source: lines without noise, packed twenty to a unit within a document."""
-    lines = table(spark, d, "documents").select("source", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
+    lines = spread(table(spark, d, "documents").select("source", "doc_id", "text")).select("source", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
     kept = lines.withColumn("line", t.squeeze(F.col("line"))).where(~t.is_noise(F.col("line")))
     n = F.row_number().over(_by_doc())
     units = kept.withColumn("unit", F.floor((n - 1) / 20)).groupBy("source", "doc_id", "unit").agg(F.sum(F.length("line")).alias("chars"), F.count(F.lit(1)).alias("nodes"))
@@ -122,7 +123,7 @@ SELECT block_id, CAST(run AS BIGINT) AS run_ord, string_agg(text, '' ORDER BY pr
 
 def joined_lines(spark: SparkSession, d: str) -> DataFrame:
     """Lines of each document as one text without what a line repeats of the end of the last."""
-    lines = table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", F.split("text", r"\r?\n", -1).alias("lines"))
+    lines = spread(table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", "text")).select("doc_id", F.split("text", r"\r?\n", -1).alias("lines"))
     return lines.select("doc_id", structure.join_lines(F.col("lines")).alias("text"))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory: str = "12g") -> SparkSession:
@@ -31,6 +31,17 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
     return spark
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` over as many partitions as there are cores where it has fewer.
+
+    For work that is heavy for its bytes (Python, regular expressions): a small
+    table of one row group would else keep one core busy.  A table with enough
+    partitions, as every large one has, is left alone and not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the folder named in ``spark.checkpoint.dir``; set one only where none is set."""
     sc = spark.sparkContext

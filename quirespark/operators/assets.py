@@ -88,3 +88,29 @@ def symbol_summary(candidates: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("total"), F.count_if("is_classified").alias("classified"), F.count_if(~F.col("is_classified")).alias("unclassified"),
         F.array_sort(F.collect_set("symbol_id")).alias("symbol_ids"),
     )
+
+
+def best_candidates(candidates: DataFrame) -> DataFrame:
+    """The candidate of highest confidence of each primitive, of equals the first; needs ``confidence``."""
+    w = Window.partitionBy("doc_id", "page_number", "primitive_id").orderBy(F.desc("confidence"), "candidate_id")
+    return candidates.withColumn("__n", F.row_number().over(w)).where("__n = 1").drop("__n")
+
+
+def tag_figures(page_blocks: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Figures whose asset or id is the primitive of a candidate get its symbol as ``alt_text``; the asset goes first."""
+    best = best_candidates(candidates).select("doc_id", "page_number", F.col("primitive_id").alias("__p"), F.col("symbol_id").alias("__s"))
+    page = ["doc_id", "page_number"]
+    a = best.withColumnsRenamed({"__p": "asset_ref", "__s": "__a"})
+    b = best.withColumnsRenamed({"__p": "block_id", "__s": "__b"})
+    out = page_blocks.join(a, [*page, "asset_ref"], "left").join(b, [*page, "block_id"], "left")
+    return out.withColumn("alt_text", F.when(F.col("kind") == "figure", F.coalesce("__a", "__b"))).drop("__a", "__b")
+
+
+def by_page(pages: DataFrame, **tables: DataFrame) -> DataFrame:
+    """Pages with an array of rows of each table, empty where a page has none; tables need ``doc_id, page_number``."""
+    page = ["doc_id", "page_number"]
+    for name, table in tables.items():
+        own = table.groupBy(*page).agg(F.array_sort(F.collect_list(F.struct(*[c for c in table.columns if c not in page]))).alias(name))
+        kind = own.schema[name].dataType
+        pages = pages.join(own, page, "left").withColumn(name, F.coalesce(name, F.array().cast(kind)))
+    return pages

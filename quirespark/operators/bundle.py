@@ -54,3 +54,34 @@ def table_grid(cells: DataFrame, keys: list[str], columns: int) -> DataFrame:
     """Cells as a dense grid, one row a table row; of repeated cells the last one counts."""
     pivoted = cells.groupBy(*keys, "row").pivot("col", list(range(columns))).agg(F.max_by("text", "cell_ord"))
     return pivoted.select(*keys, "row", *[F.coalesce(F.col(str(k)), F.lit("")).alias(f"c{k}") for k in range(columns)])
+
+
+def render_mode(route: Column, kind: Column) -> Column:
+    """What a reader shows of a block: nothing on pages that are shown as an image."""
+    return F.when(route == "facsimile", "image").when(kind == "heading", "heading").when(kind == "list", "list").when(kind == "figure", "figure").when(kind == "table", "table").when(kind == "callout", "callout").otherwise("text")
+
+
+def html(page_blocks: DataFrame) -> DataFrame:
+    """Adds ``html``: a block as markup by its kind, text escaped."""
+    safe = F.coalesce("content", F.lit(""))
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        safe = F.replace(safe, F.lit(a), F.lit(b))
+    level = F.least(F.coalesce("level", F.lit(2)), F.lit(6)).cast("string")
+    items = F.array_join(F.transform(F.split(safe, "\n"), lambda x: F.concat(F.lit("<li>"), x, F.lit("</li>"))), "")
+    wrap = lambda tag, x: F.concat(F.lit(f"<{tag}>"), x, F.lit(f"</{tag}>"))
+    out = F.when(F.col("kind") == "heading", F.concat(F.lit("<h"), level, F.lit(">"), safe, F.lit("</h"), level, F.lit(">"))).when(F.col("kind") == "list", wrap("ul", items)).when(F.col("kind") == "caption", wrap("figcaption", safe)).when(F.col("kind") == "callout", wrap("aside", safe)).otherwise(wrap("p", safe))
+    return page_blocks.withColumn("html", out)
+
+
+def contents(entries: DataFrame, depth: int = 2) -> DataFrame:
+    """Rows of a table of contents in order: ``doc_id, path, depth, anchor_id`` of entries with ``parent``.
+
+    A self-join a level; parents are of level 1, so that two levels are all.
+    """
+    top = entries.where(F.col("parent").isNull()).select("doc_id", "anchor_id", "page_number", F.array("anchor_id").alias("path"), F.lit(1).alias("depth"))
+    every, level = top, top
+    for n in range(2, depth + 1):
+        up = level.select(F.col("doc_id").alias("__d"), F.col("anchor_id").alias("__p"), F.col("path").alias("__path"))
+        level = entries.join(up, (F.col("doc_id") == F.col("__d")) & (F.col("parent") == F.col("__p"))).select("doc_id", "anchor_id", "page_number", F.concat("__path", F.array("anchor_id")).alias("path"), F.lit(n).alias("depth"))
+        every = every.unionByName(level)
+    return every

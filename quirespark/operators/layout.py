@@ -143,6 +143,12 @@ def unassigned(found: DataFrame, order: DataFrame) -> DataFrame:
     return left.join(columns, [*PAGE, "band_index", "kind_hint"], "left_anti").select(*PAGE, "region_id")
 
 
+def canonical_flags(found: DataFrame) -> DataFrame:
+    """``has_tables, has_figures, has_callouts, estimated_columns`` of each page."""
+    flag = lambda kind, name: F.bool_or(F.col("kind_hint") == kind).alias(name)
+    return found.groupBy(*PAGE).agg(flag("table", "has_tables"), flag("figure", "has_figures"), flag("callout", "has_callouts"), F.coalesce(F.max("column_count"), F.lit(1)).alias("estimated_columns"))
+
+
 def page_confidence(found: DataFrame, order: DataFrame, page_furniture: DataFrame) -> DataFrame:
     """``confidence, route`` of each page: 1 less what speaks against a faithful structure.
 

@@ -56,3 +56,16 @@ def apply_links(page_blocks: DataFrame, links: DataFrame) -> DataFrame:
     b = links.select(F.col("caption_id").alias("block_id"), F.col("figure_id").alias("parent_block_id"))
     return page_blocks.join(a, "block_id", "left").join(b, "block_id", "left")
 
+
+
+def resolve_figures(regions: DataFrame, page_blocks: DataFrame) -> DataFrame:
+    """The n-th figure region of a page (from the top, then from the left) is its n-th figure block; surplus on either side is left out."""
+    r = regions.where("kind_hint = 'figure'").select(*PAGE, "region_id", F.row_number().over(Window.partitionBy(*PAGE).orderBy("y0", "x0", "region_id")).alias("n"))
+    b = page_blocks.where("kind = 'figure'").select(*PAGE, "block_id", F.row_number().over(Window.partitionBy(*PAGE).orderBy("block_ord", "block_id")).alias("n"))
+    return r.join(b, [*PAGE, "n"]).select(*PAGE, "region_id", "block_id")
+
+
+def resolve_captions(texts: DataFrame, page_blocks: DataFrame) -> DataFrame:
+    """Primitives and the caption block of their page with the same text; of equal blocks the last."""
+    b = page_blocks.where("kind = 'caption'").groupBy(*PAGE, F.trim("content").alias("__text")).agg(F.max_by("block_id", F.struct("block_ord", "block_id")).alias("block_id"))
+    return texts.withColumn("__text", F.trim("text")).join(b, [*PAGE, "__text"]).select(*PAGE, "primitive_id", "block_id")

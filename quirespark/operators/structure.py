@@ -158,6 +158,46 @@ def callout_members(page_boxes: DataFrame, callouts: DataFrame) -> DataFrame:
     return page_boxes.join(c, on).select(*PAGE, F.col("primitive_id"), F.col("c_region_id").alias("region_id"))
 
 
+def wrap_callouts(page_blocks: DataFrame, members: DataFrame) -> DataFrame:
+    """Member blocks of a callout become one block of kind ``callout`` where the first of them stood.
+
+    ``members(doc_id, page_number, block_id, region_id)``; a block in several
+    callouts goes to the first by name.  List items stay lines of their own.
+    """
+    once = members.groupBy(*PAGE, "block_id").agg(F.min("region_id").alias("region_id"))
+    inside = page_blocks.join(once, [*PAGE, "block_id"])
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("block_ord", "content"))), lambda x: x["content"]), "\n")
+    calls = inside.groupBy(*PAGE, "region_id").agg(F.min("block_ord").alias("block_ord"), text.alias("content")).select(*PAGE, "block_ord", F.col("region_id").alias("block_id"), F.lit("callout").alias("kind"), F.lit(None).cast("int").alias("level"), "content")
+    rest = page_blocks.join(once.select(*PAGE, "block_id"), [*PAGE, "block_id"], "left_anti").select(*PAGE, "block_ord", "block_id", "kind", "level", "content")
+    return rest.unionByName(calls).withColumn("block_ord", F.row_number().over(Window.partitionBy(*PAGE).orderBy("block_ord", "block_id")) - 1)
+
+
+def split_symbols(runs: DataFrame, tokens: list[tuple[str, str]], text: str = "text") -> DataFrame:
+    """Adds ``parts``, an array of ``kind, value``: text between the first occurrences of the tokens of a pack, taken in its order.
+
+    A token is looked for in what is left after the token before it; ``value`` of a symbol is its id.
+    """
+    part = "array<struct<kind: string, value: string>>"
+    state = F.struct(F.array().cast(part).alias("done"), F.coalesce(F.col(text), F.lit("")).alias("left"))
+
+    def cut(symbol: str, token: str):
+        def step(s):
+            at = F.instr(s["left"], F.lit(token))
+            before = F.substring(s["left"], F.lit(1), at - 1)
+            own = F.array(F.struct(F.lit("symbol").alias("kind"), F.lit(symbol).alias("value")))
+            lead = F.when(before == "", F.array().cast(part)).otherwise(F.array(F.struct(F.lit("text").alias("kind"), before.alias("value"))))
+            hit = F.struct(F.concat(s["done"], lead, own).cast(part).alias("done"), F.substring(s["left"], at + len(token), F.length(s["left"])).alias("left"))
+            return F.when(at > 0, hit).otherwise(s)
+
+        return step
+
+    for symbol, token in tokens:
+        if token:
+            state = t.let(state, cut(symbol, token))
+    done = t.let(state, lambda s: F.when(s["left"] == "", s["done"]).otherwise(F.concat(s["done"], F.array(F.struct(F.lit("text").alias("kind"), s["left"].alias("value"))).cast(part))))
+    return runs.withColumn("parts", done)
+
+
 def apply_patches(page_blocks: DataFrame, patches: DataFrame) -> DataFrame:
     """Overrides of a pack, the last one wins for each block and target.
 

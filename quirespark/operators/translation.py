@@ -164,6 +164,32 @@ def parse_response(raw: Column) -> Column:
     return out
 
 
+def clean_output(raw: Column) -> Column:
+    """Output of a command-line gateway without code fences and without the lines before its JSON."""
+    lines = F.filter(F.split(raw, r"\r?\n"), lambda x: ~F.rlike(x, F.lit(r"^\s*```")))
+    return F.trim(F.regexp_replace(F.array_join(lines, "\n"), r"(?s)^[^\[{]*(?=[\[{])", ""))
+
+
+def user_prompt() -> Column:
+    """A unit as the JSON that is sent: needs the columns of :func:`plan_units`."""
+    return F.to_json(F.struct("unit_id", "section_path", "style_hint", "context_before", "context_after", F.col("nodes").alias("text_nodes")))
+
+
+def with_fallback(*gateways: Callable[[str], str]) -> Callable[[str], str]:
+    """A gateway that asks the next one where one fails; the last error is raised."""
+
+    def call(text: str) -> str:
+        for k, gateway in enumerate(gateways):
+            try:
+                return gateway(text)
+            except Exception:  # noqa: BLE001
+                if k == len(gateways) - 1:
+                    raise
+        raise ValueError("no gateway")
+
+    return call
+
+
 def locked_term_warnings(nodes: DataFrame, terms: DataFrame) -> DataFrame:
     """Nodes whose source holds a locked term and whose translation lacks its translation.
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
-from ..operators import assets, furniture, layout, links, primitives, structure
+from ..operators import assets, furniture, layout, links, overlays, primitives, structure
 from ..sources.tables import table
 from . import sql
 from .text_queries import prims
@@ -222,6 +222,26 @@ MEMBERS_SQL = f"""WITH {sql.REGIONS} SELECT p.doc_id, p.page_number, p.primitive
 WHERE (p.x0 + p.x1) / 2 BETWEEN r.x0 AND r.x1 AND (p.y0 + p.y1) / 2 BETWEEN r.y0 AND r.y1"""
 
 
+def canonical_flags(spark: SparkSession, d: str) -> DataFrame:
+    return layout.canonical_flags(layout.regions(prims(spark, d)))
+
+
+FLAGS_SQL = f"WITH {sql.REGIONS} SELECT doc_id, page_number, FALSE AS has_tables, FALSE AS has_figures, FALSE AS has_callouts, CAST(coalesce(max(column_count), 1) AS INT) AS estimated_columns FROM r GROUP BY ALL"
+
+
+def region_overlays(spark: SparkSession, d: str) -> DataFrame:
+    return overlays.regions(layout.regions(prims(spark, d))).select("layer", "doc_id", "page_number", *_rounded(*R6), "colour", "label")
+
+
+OVERLAY_SQL = f"""WITH {sql.REGIONS} SELECT 'regions' AS layer, doc_id, page_number, round(x0, 6) AS x0, round(y0, 6) AS y0, round(x1, 6) AS x1, round(y1, 6) AS y1, CASE kind_hint WHEN 'band' THEN 'grey' WHEN 'column' THEN 'blue' ELSE 'teal' END AS colour, region_id || ' ' || kind_hint AS label FROM r"""
+
+
+def wrapped_callouts(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks of the pages with the texts of tall bands as callouts."""
+    b = structure.classify(prims(spark, d)).where("kind_hint <> 'skip'").select("doc_id", "page_number", F.col("prim_ord").alias("block_ord"), F.col("primitive_id").alias("block_id"), F.lit("paragraph").alias("kind"), F.lit(None).cast("int").alias("level"), F.col("clean").alias("content"))
+    return structure.wrap_callouts(b, callout_members(spark, d).withColumnRenamed("primitive_id", "block_id"))
+
+
 def geometry(spark: SparkSession, d: str) -> DataFrame:
     box = g.box()
     return prims(spark, d).select("doc_id", "primitive_id", F.round(g.area(*box), 6).alias("area"), F.round(g.normalize(F.col("x0") * 612 - 10, F.lit(600.0)), 6).alias("clamped"), g.grid(F.col("x0"), 0.02).alias("grid"), g.contains((F.lit(0.05), F.lit(0.05), F.lit(0.95), F.lit(0.95)), box).alias("inside"), F.round(g.overlap_area(box, (F.lit(0.0), F.lit(0.0), F.lit(0.5), F.lit(0.5))), 6).alias("overlap"))
@@ -252,5 +272,8 @@ QUERIES = {
     "caption_links": (caption_links, None),
     "sequential_links": (sequential_links, SEQUENTIAL_SQL),
     "callout_members": (callout_members, MEMBERS_SQL),
+    "canonical_flags": (canonical_flags, FLAGS_SQL),
+    "region_overlays": (region_overlays, OVERLAY_SQL),
+    "wrapped_callouts": (wrapped_callouts, None),
     "geometry": (geometry, GEOMETRY_SQL),
 }

@@ -344,6 +344,29 @@ PUBLIC_SQL = """WITH a AS (SELECT DISTINCT doc_id, candidate_id, content_hash, p
 SELECT doc_id, page_number, candidate_id || '@' || page_number AS block_id, CASE WHEN content_hash IS NOT NULL THEN '/assets/' || doc_id || '/' || substr(content_hash, 1, 8) || '.png' END AS asset_ref FROM b"""
 
 
+def contents(spark: SparkSession, d: str) -> DataFrame:
+    return bundle.contents(navigation_tree(spark, d)).withColumn("path", F.array_join("path", "/"))
+
+
+CONTENTS_SQL = NAV_SQL.replace("SELECT doc_id, page_number, anchor_id, nav_level, CASE", ", t AS (SELECT doc_id, page_number, anchor_id, nav_level, CASE", 1) + """)
+SELECT doc_id, anchor_id, page_number, coalesce(parent || '/', '') || anchor_id AS path, CASE WHEN parent IS NULL THEN 1 ELSE 2 END AS depth FROM t"""
+
+
+def block_html(spark: SparkSession, d: str) -> DataFrame:
+    return bundle.html(page_blocks(spark, d)).select("doc_id", "page_number", "block_id", "html", bundle.render_mode(F.lit("semantic"), F.col("kind")).alias("mode"))
+
+
+_SAFE = "replace(replace(replace(coalesce(content, ''), '&', '&amp;'), '<', '&lt;'), '>', '&gt;')"
+HTML_SQL = f"""WITH {sql.BLOCKS} SELECT doc_id, page_number, block_id, CASE WHEN kind = 'heading' THEN '<h' || least(coalesce(level, 2), 6) || '>' || {_SAFE} || '</h' || least(coalesce(level, 2), 6) || '>' ELSE '<p>' || {_SAFE} || '</p>' END AS html,
+CASE WHEN kind = 'heading' THEN 'heading' ELSE 'text' END AS mode FROM pb"""
+
+
+def split_symbols(spark: SparkSession, d: str) -> DataFrame:
+    """Runs cut at the first storm and lantern."""
+    parts = structure.split_symbols(_runs(spark, d).where(F.col("text").isNotNull()), [("sym.storm", "storm"), ("sym.lantern", "lantern")])
+    return parts.select("doc_id", "inline_id", F.array_join(F.transform("parts", lambda p: F.concat(F.left(p["kind"], F.lit(1)), F.lit(":"), p["value"])), "|").alias("parts"))
+
+
 def event_windows(spark: SparkSession, d: str) -> DataFrame:
     """Events by type and hour (an extension; the same function serves the stream)."""
     return events.hourly(table(spark, d, "events"))
@@ -382,5 +405,8 @@ QUERIES = {
     "patched_blocks": (patched_blocks, PATCH_SQL),
     "table_grid": (table_grid, GRID_SQL),
     "public_pages": (public_pages, PUBLIC_SQL),
+    "contents": (contents, CONTENTS_SQL),
+    "block_html": (block_html, HTML_SQL),
+    "split_symbols": (split_symbols, None),
     "event_windows": (event_windows, EVENTS_SQL),
 }

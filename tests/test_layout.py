@@ -1,6 +1,6 @@
 import pytest
 
-from quirespark.operators import assets, furniture, layout, links, primitives
+from quirespark.operators import assets, furniture, layout, links, overlays, primitives
 
 from .conftest import rows
 
@@ -80,3 +80,24 @@ def test_symbols(spark, empty):
     pack = spark.createDataFrame([("s", "{x}")], "symbol_id string, token string")
     got = rows(assets.symbol_candidates(assets.token_matches(p, pack), assets.dingbats(p)), "candidate_id", "anchor_type")
     assert got == ([] if empty else [("sym:p0001:000", "inline"), ("sym:p0001:001", "line_prefix"), ("sym:p0001:002", "inline")])
+
+
+def test_resolving_and_tagging(spark):
+    regions = spark.createDataFrame([("d", 1, "r1", "figure", 0.5, 0.1), ("d", 1, "r0", "figure", 0.1, 0.5), ("d", 1, "r2", "band", 0.0, 0.0)], "doc_id string, page_number int, region_id string, kind_hint string, y0 double, x0 double")
+    blocks = spark.createDataFrame([("d", 1, 0, "f0", "figure", "", "p1"), ("d", 1, 1, "c0", "caption", " Fig 1 ", None), ("d", 1, 2, "c1", "caption", "Fig 1", None)], "doc_id string, page_number int, block_ord int, block_id string, kind string, content string, asset_ref string")
+    assert rows(links.resolve_figures(regions, blocks), "region_id", "block_id") == [("r0", "f0")]
+    texts = spark.createDataFrame([("d", 1, "t", "Fig 1")], "doc_id string, page_number int, primitive_id string, text string")
+    assert rows(links.resolve_captions(texts, blocks), "block_id") == [("c1",)]
+    cand = spark.createDataFrame([("d", 1, "p1", "k0", "s0", 0.5), ("d", 1, "p1", "k1", "s1", 0.9), ("d", 1, "p1", "k2", "s2", 0.9)], "doc_id string, page_number int, primitive_id string, candidate_id string, symbol_id string, confidence double")
+    assert rows(assets.tag_figures(blocks, cand), "block_id", "alt_text") == [("c0", None), ("c1", None), ("f0", "s1")]
+    pages = spark.createDataFrame([("d", 1), ("d", 2)], "doc_id string, page_number int")
+    assert [len(r["found"]) for r in assets.by_page(pages, found=cand).orderBy("page_number").collect()] == [3, 0]
+
+
+def test_overlays(spark):
+    p = prims(spark, [(1, "text", 0, (0.1, 0.1, 0.2, 0.2), "a"), (2, "text", 0, (0.1, 0.1, 0.2, 0.2), "b")], ", text string")
+    r = layout.regions(p)
+    assert overlays.primitives(p, 2).count() == 1 and overlays.regions(r).count() == 2
+    assert rows(overlays.reading_order(r, layout.reading_order(r)), "label") == [("0",), ("0",)]
+    c = layout.page_confidence(r, layout.reading_order(r), furniture.page_furniture(furniture.candidates(p)))
+    assert rows(overlays.confidence(c), "colour") == [("green",), ("green",)]

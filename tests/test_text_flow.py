@@ -134,3 +134,34 @@ def test_bundle(spark):
     s = spark.createDataFrame([("x", "Label", "p.svg", ""), ], "symbol_id string, label string, svg_path string, alt_text string")
     refs = spark.createDataFrame([("x", ""), ("y", None), ("x", "own")], "symbol_id string, alt_text string")
     assert sorted(r["alt"] for r in bundle.with_symbols(refs, s.withColumnRenamed("alt_text", "alt_text")).collect()) == ["Label", "own", "y"]
+
+
+def test_callouts_wrap_at_first_member(spark):
+    b = blocks(spark, (1, 0, "paragraph", None, "a"), (1, 1, "list", None, "x\ny"), (1, 2, "paragraph", None, "c"), (1, 3, "paragraph", None, "d"))
+    m = spark.createDataFrame([("d", 1, "b11", "r1"), ("d", 1, "b13", "r1"), ("d", 1, "b13", "r2")], "doc_id string, page_number int, block_id string, region_id string")
+    assert rows(structure.wrap_callouts(b, m), "block_ord", "kind", "content") == [(0, "paragraph", "a"), (1, "callout", "x\ny\nd"), (2, "paragraph", "c")]
+
+
+def test_symbol_tokens_split_in_order(spark):
+    df = spark.createDataFrame([("a {x} b {x} {y}",), ("{y} {x}",), (None,), ("plain",)], "text string")
+    got = [[tuple(p) for p in r["parts"]] for r in structure.split_symbols(df, [("X", "{x}"), ("Y", "{y}")]).collect()]
+    assert got == [[("text", "a "), ("symbol", "X"), ("text", " b {x} "), ("symbol", "Y")], [("text", "{y} "), ("symbol", "X")], [], [("text", "plain")]]
+
+
+def test_outputs_and_fallback(spark):
+    df = spark.createDataFrame([("Sure:\n```json\n{\"a\": 1}\n```",)], "t string")
+    assert df.select(translation.clean_output(F.col("t"))).first()[0] == '{"a": 1}'
+
+    def bad(text):
+        raise ValueError("down")
+
+    assert translation.with_fallback(bad, str.upper)("x") == "X"
+    u = translation.plan_units(blocks(spark, (1, 0, "paragraph", None, "a text goes here.")))
+    assert '"source_text":"a text goes here."' in u.select(translation.user_prompt()).first()[0]
+
+
+def test_html_and_contents(spark):
+    b = blocks(spark, (1, 0, "heading", 1, "A<B"), (1, 1, "list", None, "x\ny"), (1, 2, "paragraph", None, None))
+    assert [r["html"] for r in bundle.html(b).orderBy("block_ord").collect()] == ["<h1>A&lt;B</h1>", "<ul><li>x</li><li>y</li></ul>", "<p></p>"]
+    e = spark.createDataFrame([("d", "a", 1, None), ("d", "b", 2, "a")], "doc_id string, anchor_id string, page_number int, parent string")
+    assert rows(bundle.contents(e), "path", "depth") == [(["a", "b"], 2), (["a"], 1)]

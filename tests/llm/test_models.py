@@ -62,7 +62,7 @@ def test_documents(spark, chain):
 @pytest.fixture(scope="module")
 def judge(spark, data, documents):
     u, a = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("translation_units", "translated_nodes"))
-    return pairs.fit_judge(pairs.pairs(u, a), documents)
+    return pairs.fit_judge(u, a, documents)
 
 
 EN = "Roll the storm die and add 6. The leader may spend 4 supplies before the lanterns go out."

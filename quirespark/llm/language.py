@@ -22,7 +22,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ngrams import LANGUAGES, clean_lines, label_code, labelled_sample
+from ..session import spread
+from .ngrams import clean_lines, label_code, labelled_sample
 
 chain_of = _chain.from_iterable
 
@@ -147,7 +148,7 @@ def forward_backward(likely: np.ndarray, step: np.ndarray, lengths: np.ndarray)
     return ahead
 
 
-def fit_chain(texts: list[str], labels: list[str], length: int = 96, steps: int = 80, seed: int = 7) -> Chain | None:
+def fit_chain(texts: list[str], labels: list[str], length: int = 96, steps: int = 60, seed: int = 7) -> Chain | None:
     """A chain fitted by gradient ascent on sequences with known language of each word.
 
     Sequences are made of lines of one language with lines of others between
@@ -280,7 +281,7 @@ def languages(documents: DataFrame, chain: Chain | None = None) -> DataFrame:
     if chain is None:
         return spark.createDataFrame([], cols)
     model = spark.sparkContext.broadcast(pickle.dumps(chain))
-    source = documents.where(F.length("text") > 0).select("doc_id", label_code(F.col("lang")).alias("label"), "text")
+    source = spread(documents.where(F.length("text") > 0).select("doc_id", label_code(F.col("lang")).alias("label"), "text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _worker_chain(model.value)

@@ -32,9 +32,9 @@ MEMO_WORDS = 400_000
 SLICE = 2000
 #: Words (padding included) that run through the chain together.
 CELLS = 120_000
-#: A foreign line has at least so many words and letters besides names.
-LEAST_WORDS = 3
-LEAST_LETTERS = 12
+#: A foreign line has at least so many words and letters, one of the words in small letters (names and terms have none).
+LEAST_WORDS = 4
+LEAST_LETTERS = 15
 LEAST_SHARE = 0.6
 
 _LETTER = regex.compile(r"\p{L}")
@@ -247,11 +247,11 @@ def label_batch(chain: Chain, texts: list[str]) -> tuple[np.ndarray, np.ndarray,
     some = mine.sum(axis=1) > 0
     main[some] = mine[some].argmax(axis=1)
     share[some] = mine[some].max(axis=1) / mine[some].sum(axis=1)
-    plain = chain.plain[words]
-    real = np.add.reduceat(plain, heads, dtype=np.int64)
-    real_letters = np.add.reduceat(np.where(plain, letters, 0), heads)
+    small = np.add.reduceat(chain.plain[words], heads, dtype=np.int64)
+    count = np.diff(np.concatenate([heads, [len(words)]]))
+    size = np.add.reduceat(letters, heads)
     part = by_line[np.arange(len(best)), best] / total
-    foreign = (best != main[text]) & (real >= LEAST_WORDS) & (real_letters >= LEAST_LETTERS) & (part >= LEAST_SHARE)
+    foreign = (best != main[text]) & (small > 0) & (count >= LEAST_WORDS) & (size >= LEAST_LETTERS) & (part >= LEAST_SHARE)
     at = np.flatnonzero(foreign)
     return main, share, list(zip(text[at].tolist(), number[used[at]].tolist(), best[at].tolist(), part[at].tolist()))
 

@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .bpe import worker_encoder
 
 #: Where the vocabulary files lie; a parameter of every operator that needs one.
@@ -30,10 +31,11 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", tokenizers: s
 
     NULL and empty texts give an empty list; strings that look like special
     tokens are ordinary text; rows are neither dropped nor merged, so repeated
-    rows and NULL keys stay; other columns are not read.  Map only: no shuffle.
+    rows and NULL keys stay; other columns are not read.  Map only: no shuffle, unless a
+    small table has fewer partitions than there are cores.
     """
     ranks = rank_file(df.sparkSession, tokenizers, vocabulary)
-    source = df.select(F.col(key), F.col(text).alias("__text"))
+    source = spread(df.select(F.col(key), F.col(text).alias("__text")))
     kind = source.schema[0].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

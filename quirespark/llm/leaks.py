@@ -22,6 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .confusables import PROTOTYPE, fold
 from .fmindex import FMIndex
 
@@ -223,7 +224,7 @@ def spans(documents: DataFrame, items: DataFrame) -> DataFrame:
     broadcast in blocks of ``BLOCK_ITEMS``.  Empty tables give no rows.
     """
     spark = documents.sparkSession
-    texts = documents.select("doc_id", "text").where(F.length("text") > 0)
+    texts = spread(documents.select("doc_id", "text").where(F.length("text") > 0))
     rows = items.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
     blocks = max(1, -(-rows.count() // BLOCK_ITEMS))
 

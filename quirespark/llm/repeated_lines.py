@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, spread
 
 SHARE = 0.2
 LEAST = 3
@@ -127,7 +127,7 @@ def page_lines(primitives: DataFrame, share: float = SHARE, least: int = LEAST)
     A page counts where the rulebook has any row for it, NULL texts included.
     Repeated rows count once; rows with NULL key columns are left out.
     """
-    p = primitives.select("doc_id", "page_number", "primitive_id", "text").where(F.col("doc_id").isNotNull())
+    p = spread(primitives.select("doc_id", "page_number", "primitive_id", "text").where(F.col("doc_id").isNotNull()))
     p = p.withColumn("key", F.xxhash64(F.replace(letters(F.col("text")), F.lit("\n"), F.lit("")))).select(F.col("doc_id").alias("grp"), F.col("page_number").alias("page"), F.col("primitive_id").alias("item"), "key")
     pages = p.groupBy("grp", "page").agg(F.collect_set(F.when(has_letters(F.col("key")), F.col("key"))).alias("keys"))
     totals = p.groupBy("grp").agg(F.count_distinct("page").alias("docs"))
@@ -141,7 +141,7 @@ def document_lines(documents: DataFrame, share: float = SHARE, least: int = LEAS
 
     Documents with NULL or empty text count; NULL sources are left out.
     """
-    d = documents.where(F.col("source").isNotNull()).select("source", "doc_id", "text")
+    d = spread(documents.where(F.col("source").isNotNull()).select("source", "doc_id", "text"))
     keyed = d.select(F.col("source").alias("grp"), "doc_id", F.transform(F.split(letters(F.col("text")), "\n", -1), lambda line: F.xxhash64(line)).alias("all"))
     lines = keyed.select("grp", F.col("doc_id").cast("string").alias("doc"), F.posexplode("all").alias("pos", "key")).where(has_letters(F.col("key")))
     lines = lines.select("grp", "doc", F.concat_ws(":", "doc", F.col("pos") + 1).alias("item"), "key")

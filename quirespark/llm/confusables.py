@@ -19,6 +19,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # Letters that look like a Latin letter, and that letter.
 CYRILLIC = dict(zip("аеорсухѕіјԁһԛԝӏѵүԍАВЕКМНОРСТУХЅІЈԌԚԜѴҮӀ", "aeopcyxsijdhqwlvyGABEKMHOPCTYXSIJGQWVYI"))
 GREEK = dict(zip("οαινκρυχτωϲϳΑΒΕΖΗΙΚΜΝΟΡΤΥΧϹͿ", "oaivkpuxtwcjABEZHIKMNOPTYXCJ"))
@@ -179,26 +181,34 @@ def lone_word(text: str) -> str | None:
 def _records(primitives: DataFrame, inlines: DataFrame) -> DataFrame:
     a = primitives.select(F.lit("text_primitive").alias("record_kind"), "doc_id", F.col("primitive_id").alias("item_key"), "text")
     b = inlines.where(F.col("kind") == "glossary_ref").select(F.lit("glossary_ref").alias("record_kind"), "doc_id", F.col("inline_id").alias("item_key"), F.col("surface_form").alias("text"))
-    return a.unionByName(b).where(F.length("text") > 0)
+    return spread(a.unionByName(b).where(F.length("text") > 0))
+
+
+#: Distinct chunks of text that are counted before they are taken apart.
+CHUNKS = 300_000
 
 
 def lone_counts(records: DataFrame) -> DataFrame:
-    """``skeleton, word, n``: words of look-alikes standing alone in a text, and words of the same kind within texts."""
+    """``skeleton, word, n``: words that could be of another alphabet, by how often they occur in all texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
-        able: dict[str, bool] = {}
+        chunks: Counter = Counter()
+
+        def flush() -> pa.RecordBatch:
+            counts: Counter = Counter()
+            for chunk, n in chunks.items():
+                for word in _WORD.findall(chunk if is_plain(chunk) else fold(chunk)):
+                    counts[word] += n
+            able = {w: n for w, n in counts.items() if lone_word(w) is not None}
+            chunks.clear()
+            return pa.RecordBatch.from_arrays([pa.array([skeleton(w) for w in able], pa.string()), pa.array(list(able), pa.string()), pa.array(list(able.values()), pa.int64())], ["skeleton", "word", "n"])
+
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for word in _WORD.findall(fold(text)):
-                    ok = able.get(word)
-                    if ok is None:
-                        if len(able) > 500_000:
-                            able.clear()
-                        ok = able[word] = lone_word(word) is not None
-                    if ok:
-                        counts[word] += 1
-        yield pa.RecordBatch.from_arrays([pa.array([skeleton(w) for w in counts], pa.string()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], ["skeleton", "word", "n"])
+                chunks.update(text.split())
+            if len(chunks) > CHUNKS:
+                yield flush()
+        yield flush()
 
     return records.select("text").mapInArrow(run, "skeleton string, word string, n bigint").groupBy("skeleton", "word").agg(F.sum("n").alias("n"))
 
@@ -212,9 +222,9 @@ def usual_forms(primitives: DataFrame, inlines: DataFrame) -> DataFrame:
     its skeleton.  Extra columns are not read; empty tables give no rows.
     """
     records = _records(primitives, inlines)
-    counts = lone_counts(records)
-    best = counts.groupBy("skeleton").agg(F.max_by("word", F.struct("n", "word")).alias("best"), F.count(F.lit(1)).alias("forms"))
-    swap = counts.join(best.where(F.col("forms") > 1), "skeleton").where(F.col("word") != F.col("best")).select("word", "best")
+    # The originals of one skeleton are a handful of spellings.
+    forms = lone_counts(records).groupBy("skeleton").agg(F.max_by("word", F.struct("n", "word")).alias("best"), F.collect_list("word").alias("words"))
+    swap = forms.where(F.size("words") > 1).select("best", F.explode("words").alias("word")).where(F.col("word") != F.col("best"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -64,3 +64,13 @@ def _longest(w, p, common):
     for (i, j), n in run.items():
         best = max(best, n, *(n + b + run[i + n + a, j + n + b] if (i + n + a, j + n + b) in run else 0 for a, b in ((1, 1), (0, 1), (1, 0))))
     return best
+
+
+def test_items_in_blocks(spark, monkeypatch):
+    other = [w.upper()[::-1] for w in PASSAGE]
+    ev = items(spark).union(spark.createDataFrame([(20, "a\n" + " ".join(other) + "\nb")], "item_id bigint, text string"))
+    docs = spark.createDataFrame([(1, " ".join(PASSAGE[:25] + other[5:30])), (1, " ".join(PASSAGE[:25] + other[5:30])), (None, " ".join(other[:20]))], "doc_id bigint, text string")
+    want = rows(leaks.found(docs, ev))
+    assert want == [(1, 20), (1, 7), (None, 20)]
+    monkeypatch.setattr(leaks, "BLOCK_ITEMS", 1)
+    assert rows(leaks.found(docs, ev)) == want

@@ -41,3 +41,10 @@ def test_same_as_exact_counting(spark, data):
     d, p = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("documents", "text_primitives"))
     got = rows(r.page_lines(p).unionByName(r.document_lines(d)))
     assert got == sorted(con.sql(r.FOUND_SQL).fetchall(), key=repr)
+
+
+def test_beyond_the_broadcast_bound(spark, monkeypatch):
+    d = docs(spark)
+    want = rows(r.document_lines(d))
+    monkeypatch.setattr(r, "BROADCAST_KEYS", -1)
+    assert rows(r.document_lines(d)) == want

@@ -46,7 +46,8 @@ def classify(texts: DataFrame, ratio: float = 1.15) -> DataFrame:
         )
 
     both = t.let(clean, lambda c: F.struct(c.alias("clean"), kind(c).alias("kind_hint")))
-    return joined.withColumn("__both", both).select(*joined.columns, "__both.clean", "__both.kind_hint")
+    # A generator keeps filters on the kind from being pushed below it, where they would evaluate all of this again.
+    return joined.select("*", F.explode(F.array(both)).alias("__both")).select(*joined.columns, "__both.clean", "__both.kind_hint")
 
 
 def list_runs(classified: DataFrame) -> DataFrame:

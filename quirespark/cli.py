@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import argparse
+import json
+import os
 
-from .plans.stages import MODES, Runner, document_stages
+from .plans.stages import MODES, Runner, document_stages, package, with_optional
+from .sinks.files import folder_hash
 from .sources.files import keep_pages, parse_pages
 from .sources.tables import table
 
@@ -21,6 +24,8 @@ def main(argv: list[str] | None = None) -> int:
     run.add_argument("--only", nargs="*")
     run.add_argument("--exclude", nargs="*")
     run.add_argument("--pages")
+    run.add_argument("--memory", help="folder of the translation memory, read and added to")
+    run.add_argument("--release", help="folder for the bundle and the archives of accepted documents")
     run.add_argument("--cache", choices=MODES, default="read_write")
     run.add_argument("--dry-run", action="store_true", help="cost estimate only")
     args = parser.parse_args(argv)
@@ -39,7 +44,19 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     texts = keep_pages(table(spark, args.folder, "text_primitives"), parse_pages(args.pages) if args.pages else None)
     runner = Runner(spark, args.store, args.cache)
-    runner.run(stages.select(args.first, args.last, args.only, args.exclude), {"texts": texts}, {"texts": f"{args.folder}:{args.pages}"})
+    inputs = {"texts": texts, "terms": table(spark, args.folder, "glossary_terms"), "titles": table(spark, args.folder, "doc_summaries").select("doc_id", "title_en", "title_ru")}
+    versions = {name: f"{args.folder}:{args.pages}" for name in inputs}
+    memory = os.path.join(args.memory, "memory") if args.memory else None
+    if memory and os.path.exists(os.path.join(memory, "_SUCCESS")):
+        inputs["memory"], versions["memory"] = spark.read.parquet(memory), str(folder_hash(memory))
+    tables = runner.run(stages.select(args.first, args.last, args.only, args.exclude), *with_optional(spark, inputs, versions))
+    if memory and "memory_new" in tables:
+        fresh = tables["memory_new"].localCheckpoint()
+        if not fresh.isEmpty():
+            fresh.write.mode("append").parquet(memory)
+    if args.release and {"bundle", "releases"} <= set(tables):
+        for manifest in package(tables, args.release):
+            print(json.dumps(manifest, sort_keys=True, default=str))
     runner.stage_runs().select("stage", "status", "cache", "duration_ms").show(50, truncate=False)
     return 0
 

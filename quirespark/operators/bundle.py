@@ -11,9 +11,9 @@ def pick(en: Column, ru: Column, locale: str) -> Column:
     return en if locale == "en" else F.coalesce(F.nullif(ru, F.lit("")), en)
 
 
-def public_blocks(page_blocks: DataFrame) -> DataFrame:
-    """Blocks without internal columns; references to assets become paths under the document."""
-    keep = [c for c in ("doc_id", "page_number", "block_ord", "block_id", "kind", "level", "content", "asset_ref") if c in page_blocks.columns]
+def public_blocks(page_blocks: DataFrame, also: tuple[str, ...] = ()) -> DataFrame:
+    """Blocks without internal columns but those named in ``also``; references to assets become paths under the document."""
+    keep = [c for c in ("doc_id", "page_number", "block_ord", "block_id", "kind", "level", "content", "asset_ref", *also) if c in page_blocks.columns]
     out = page_blocks.select(*keep)
     return out.withColumn("asset_ref", F.when(F.length("asset_ref") > 0, F.concat(F.lit("/assets/"), F.col("doc_id"), F.lit("/"), F.col("asset_ref")))) if "asset_ref" in keep else out
 

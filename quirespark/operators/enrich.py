@@ -62,3 +62,10 @@ def search(documents: DataFrame, query: str, limit: int = 10, key: str = "block_
     both = hits.join(df, "w").withColumns({"n": stats.select("n").scalar(), "avg": stats.select("avg").scalar()})
     score = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * 2.2 / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("len") / F.col("avg")))
     return both.groupBy("key").agg(F.sum(score).alias("score")).orderBy(F.desc("score"), "key").limit(limit)
+
+
+def document_summary(localized: DataFrame) -> DataFrame:
+    """``doc_id, page_count, block_count, heading_count, coverage`` of each document; lists and tables do not count for the coverage."""
+    own = localized.groupBy("doc_id").agg(F.count_distinct("page_number").cast("int").alias("page_count"), F.count(F.lit(1)).alias("block_count"), F.count_if(F.col("kind") == "heading").alias("heading_count"))
+    done = coverage(localized.where(~F.col("kind").isin("list", "table", "figure")).select("doc_id", F.col("content").alias("text"), "ru_text"))
+    return own.join(done.select("doc_id", "coverage"), "doc_id", "left").withColumn("coverage", F.coalesce("coverage", F.lit(0.0)))

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import geometry as g
+from ..functions import text as t
 
 FURTHEST, LEAST_SCORE = 0.30, 0.10
 PAGE = ("doc_id", "page_number")
@@ -69,3 +70,14 @@ def resolve_captions(texts: DataFrame, page_blocks: DataFrame) -> DataFrame:
     """Primitives and the caption block of their page with the same text; of equal blocks the last."""
     b = page_blocks.where("kind = 'caption'").groupBy(*PAGE, F.trim("content").alias("__text")).agg(F.max_by("block_id", F.struct("block_ord", "block_id")).alias("block_id"))
     return texts.withColumn("__text", F.trim("text")).join(b, [*PAGE, "__text"]).select(*PAGE, "primitive_id", "block_id")
+
+
+def figure_captions(found: DataFrame, texts: DataFrame, page_blocks: DataFrame) -> DataFrame:
+    """``doc_id, page_number, figure_id, caption_id, score`` of the blocks of figure regions and of the captions that go with them."""
+    box = ["x0", "y0", "x1", "y1"]
+    f = found.where(F.col("kind_hint") == "figure").select(*PAGE, F.col("region_id").alias("block_id"), F.element_at(F.split("region_id", ":"), -1).cast("int").alias("ord"), *box)
+    c = texts.where(t.is_caption(F.trim("text"))).select(*PAGE, F.col("primitive_id").alias("block_id"), F.col("prim_ord").alias("ord"), *box)
+    best = greedy_links(score_pairs(f, c))
+    figures = resolve_figures(found, page_blocks).select(*PAGE, F.col("region_id").alias("figure_id"), F.col("block_id").alias("__f"))
+    captions = resolve_captions(texts, page_blocks).select(*PAGE, F.col("primitive_id").alias("caption_id"), F.col("block_id").alias("__c"))
+    return best.join(figures, [*PAGE, "figure_id"]).join(captions, [*PAGE, "caption_id"]).select(*PAGE, F.col("__f").alias("figure_id"), F.col("__c").alias("caption_id"), "score")

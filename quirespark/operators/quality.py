@@ -93,3 +93,10 @@ def gate(issues: DataFrame, max_errors: int = 0, max_warnings: int = 50) -> Data
     """One row: counts and whether the run is accepted."""
     n = issues.agg(F.count_if(F.col("severity") == "error").alias("errors"), F.count_if(F.col("severity") == "warning").alias("warnings"))
     return n.withColumn("accepted", (F.col("errors") <= max_errors) & (F.col("warnings") <= max_warnings))
+
+
+def gate_by_document(issues: DataFrame, documents: DataFrame, max_errors: int = 0, max_warnings: int = 50) -> DataFrame:
+    """:func:`gate` of each document of ``documents``; one without issues is accepted."""
+    n = issues.groupBy("doc_id").agg(*[F.count_if(F.col("severity") == s).alias(c) for s, c in (("error", "errors"), ("warning", "warnings"))])
+    out = documents.select("doc_id").distinct().join(n, "doc_id", "left").withColumns({c: F.coalesce(c, F.lit(0)) for c in ("errors", "warnings")})
+    return out.withColumn("accepted", (F.col("errors") <= max_errors) & (F.col("warnings") <= max_warnings))

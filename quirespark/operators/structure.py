@@ -50,10 +50,11 @@ def classify(texts: DataFrame, ratio: float = 1.15) -> DataFrame:
     return joined.select("*", F.explode(F.array(both)).alias("__both")).select(*joined.columns, "__both.clean", "__both.kind_hint")
 
 
-def list_runs(classified: DataFrame) -> DataFrame:
+def list_runs(classified: DataFrame, anchored: bool = False) -> DataFrame:
     """Consecutive list items of a page as one list: ``doc_id, page_number, first_ord, items``.
 
-    Skipped texts do not break a run, any other text does.
+    Skipped texts do not break a run, any other text does.  ``anchored`` adds the
+    ``primitive_id`` of the first item.
     """
     kept = classified.where(F.col("kind_hint") != "skip")
     w = Window.partitionBy(*PAGE).orderBy("prim_ord", "primitive_id")
@@ -61,18 +62,21 @@ def list_runs(classified: DataFrame) -> DataFrame:
     start = F.when(item & ~F.coalesce(F.lag("kind_hint").over(w) == "list_item", F.lit(False)), 1).otherwise(0)
     runs = kept.withColumn("__start", start).withColumn("run", F.sum("__start").over(w.rowsBetween(Window.unboundedPreceding, 0))).where(F.col("kind_hint") == "list_item")
     items = F.array_sort(F.collect_list(F.struct("prim_ord", "primitive_id", t.without_bullet(F.col("clean")).alias("text"))))
-    return runs.groupBy(*PAGE, "run").agg(F.min("prim_ord").alias("first_ord"), items.alias("items")).drop("run").withColumn("items", F.transform("items", lambda x: x["text"]))
+    first = [F.min_by("primitive_id", F.struct("prim_ord", "primitive_id")).alias("primitive_id")] if anchored else []
+    return runs.groupBy(*PAGE, "run").agg(F.min("prim_ord").alias("first_ord"), items.alias("items"), *first).drop("run").withColumn("items", F.transform("items", lambda x: x["text"]))
 
 
-def blocks(classified: DataFrame) -> DataFrame:
+def blocks(classified: DataFrame, anchored: bool = False) -> DataFrame:
     """Blocks of each page in order: ``doc_id, page_number, block_ord, block_id, kind, level, content``.
 
     A list is one block with its items joined by line breaks; headings from half
-    as large again as the body are of level 1.
+    as large again as the body are of level 1.  ``anchored`` adds the ``primitive_id``
+    of the text that a block stands for, of a list its first item.
     """
-    lists = list_runs(classified).select(*PAGE, F.col("first_ord").alias("ord"), F.lit("list").alias("kind"), F.lit(None).cast("int").alias("level"), F.array_join("items", "\n").alias("content"))
+    more = ["primitive_id"] if anchored else []
+    lists = list_runs(classified, anchored).select(*PAGE, *more, F.col("first_ord").alias("ord"), F.lit("list").alias("kind"), F.lit(None).cast("int").alias("level"), F.array_join("items", "\n").alias("content"))
     level = F.when(F.col("kind_hint") == "heading", F.when(F.col("font_size") >= 1.5 * F.col("body_size"), 1).otherwise(2))
-    rest = classified.where(F.col("kind_hint").isin("heading", "caption", "paragraph")).select(*PAGE, F.col("prim_ord").alias("ord"), F.col("kind_hint").alias("kind"), level.alias("level"), F.col("clean").alias("content"))
+    rest = classified.where(F.col("kind_hint").isin("heading", "caption", "paragraph")).select(*PAGE, *more, F.col("prim_ord").alias("ord"), F.col("kind_hint").alias("kind"), level.alias("level"), F.col("clean").alias("content"))
     n = F.row_number().over(Window.partitionBy(*PAGE).orderBy("ord", "kind", "content")) - 1
     both = lists.unionByName(rest).withColumn("block_ord", n)
     return both.withColumn("block_id", block_id(F.col("doc_id"), F.col("page_number"), F.col("block_ord"), F.col("kind"))).drop("ord")
@@ -212,3 +216,43 @@ def apply_patches(page_blocks: DataFrame, patches: DataFrame) -> DataFrame:
     cols = [c for c in page_blocks.columns]
     out = hit.groupBy(*cols).agg(pick("override_block_kind", F.col("value").isin("heading", "paragraph")).alias("__kind"), pick("replace_text", F.lit(True)).alias("__text"))
     return out.withColumns({"kind": F.coalesce("__kind", "kind"), "level": F.when(F.col("__kind") == "heading", 1).when(F.col("__kind").isNotNull(), None).otherwise(F.col("level")), "content": F.coalesce("__text", "content")}).drop("__kind", "__text")
+
+
+def page_routes(pages: DataFrame, patches: DataFrame) -> DataFrame:
+    """Pages with the ``route`` that the last ``set_render_mode`` or ``force_fallback`` of a pack gives them; unknown modes are ``semantic``."""
+    mode = F.when(F.col("action") == "force_fallback", "facsimile").when(F.col("value").isin("hybrid", "facsimile"), F.col("value")).otherwise("semantic")
+    p = F.broadcast(patches.where(F.col("action").isin("set_render_mode", "force_fallback")).select("patch_ord", "target_page", mode.alias("__mode")))
+    hit = pages.join(p, F.col("target_page").isNull() | (F.col("target_page") == F.col("page_number")), "left")
+    return hit.groupBy(*pages.columns).agg(F.max_by("__mode", "patch_ord").alias("__mode")).withColumn("route", F.coalesce("__mode", "route")).drop("__mode")
+
+
+def page_blocks(content: DataFrame, found: DataFrame, patches: DataFrame) -> DataFrame:
+    """Blocks of each page as a reader gets them: figures, tables, then texts.
+
+    ``doc_id, page_number, block_ord, block_id, kind, level, content, asset_ref``.
+    Overlapping lines of a text are joined, unfinished paragraphs merged, repeated
+    phrases of headings dropped, the blocks of a callout of ``found`` wrapped, and
+    ``patches`` applied last.  A merged paragraph has the place of its last part.
+    """
+    texts = content.where(F.col("kind") == "text")
+    own = blocks(classify(texts.withColumn("text", join_lines(F.split("text", r"\r?\n", -1)))), anchored=True)
+    merged = merge_paragraphs(own).withColumnRenamed("content", "__merged")
+    left = own.join(merged, [*PAGE, "block_ord"], "left").where((F.col("kind") != "paragraph") | F.col("__merged").isNotNull())
+    again = t.squeeze(t.undecorate(t.plain_letters(F.col("__merged"))))
+    left = left.withColumn("content", F.when(F.col("kind") == "heading", without_repeats("content")).when(F.col("kind") == "paragraph", again).otherwise(F.col("content"))).drop("__merged")
+    boxes = left.select(*PAGE, "block_id", "primitive_id").join(texts.select(*PAGE, "primitive_id", "x0", "y0", "x1", "y1"), [*PAGE, "primitive_id"])
+    members = callout_members(boxes, found.where(F.col("kind_hint") == "callout")).join(left.select(*PAGE, "block_id", "primitive_id"), [*PAGE, "primitive_id"])
+    wrapped = wrap_callouts(left, members.select(*PAGE, "block_id", "region_id"))
+    # A region's name is that of a page; a block's is that of all documents.
+    wrapped = wrapped.withColumn("block_id", F.when(F.col("kind") == "callout", block_id(F.col("doc_id"), F.col("page_number"), F.col("block_ord"), F.lit("callout"))).otherwise(F.col("block_id")))
+    none = F.lit(None)
+    image = F.col("kind") == "image"
+    number = F.when(image, 900 + F.col("prim_ord")).otherwise(800 + F.col("prim_ord"))
+    kind = F.when(image, "figure").otherwise("table")
+    pictures = content.where(F.col("kind").isin("image", "table")).select(
+        *PAGE, F.when(image, 0).otherwise(1).alias("__rank"), F.col("prim_ord").alias("block_ord"), block_id(F.col("doc_id"), F.col("page_number"), number, kind).alias("block_id"), kind.alias("kind"),
+        none.cast("int").alias("level"), none.cast("string").alias("content"), F.when(image, F.substring("content_hash", 1, 16)).alias("asset_ref"),
+    )
+    every = wrapped.withColumns({"__rank": F.lit(2), "asset_ref": none.cast("string")}).unionByName(pictures)
+    n = (F.row_number().over(Window.partitionBy(*PAGE).orderBy("__rank", "block_ord", "block_id")) - 1).alias("block_ord")
+    return apply_patches(every.select(*PAGE, n, "block_id", "kind", "level", "content", "asset_ref"), patches)

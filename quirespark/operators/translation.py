@@ -273,3 +273,34 @@ def glossary_links(runs: DataFrame, terms: DataFrame, first_only: bool = True) -
         w = Window.partitionBy("doc_id", "page_number", "term_id").orderBy("block_id", "node_ord", "inline_id", "start")
         out = out.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1).drop("__n")
     return out
+
+
+def with_glossary(units: DataFrame, hints: DataFrame, terms: DataFrame) -> DataFrame:
+    """Units with ``text_nodes`` and ``glossary_subset``, the terms of :func:`glossary_hints`, as a gateway and :func:`unit_sizes` take them."""
+    pack = terms.select("term_id", F.struct(F.col("en_canonical").alias("en"), F.col("ru_preferred").alias("ru"), F.col("lock_translation").alias("locked")).alias("__t"))
+    own = hints.join(F.broadcast(pack), "term_id").groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "__t"))).alias("__ts"))
+    subset = F.coalesce(F.transform("__ts", lambda x: x["__t"]), F.array().cast("array<struct<en: string, ru: string, locked: boolean>>"))
+    return units.join(own, "unit_id", "left").withColumns({"text_nodes": F.col("nodes"), "glossary_subset": subset}).drop("__ts")
+
+
+def translate_with_memory(units: DataFrame, memory: DataFrame, gateway: Callable[[str], str] | None = None) -> DataFrame:
+    """:func:`translate` for units that the memory does not hold, with ``cached``; stored translations have attempt 0."""
+    known = memory_lookup(units, memory)
+    hits = known.where("cached").select("unit_id", F.posexplode("nodes").alias("k", "n"), "translations")
+    stored = hits.select("unit_id", F.col("n.inline_id").alias("inline_id"), F.get("translations", F.col("k")).alias("ru_text"), F.lit(0).alias("attempt"), F.lit(None).cast("string").alias("error"), F.lit(True).alias("cached"))
+    return translate(known.where("not cached"), gateway).withColumn("cached", F.lit(False)).unionByName(stored)
+
+
+def memory_rows(units: DataFrame, results: DataFrame) -> DataFrame:
+    """Results as :func:`memory_store` takes them; units with a failed node are left out."""
+    nodes = units.select("unit_id", "source_fingerprint", F.posexplode("nodes").alias("k", "n")).select("unit_id", "source_fingerprint", "k", F.col("n.inline_id").alias("inline_id"), F.col("n.source_text").alias("source"))
+    both = nodes.join(results.select("unit_id", "inline_id", "ru_text"), ["unit_id", "inline_id"], "left")
+    rows = both.groupBy("unit_id", "source_fingerprint").agg(F.array_sort(F.collect_list(F.struct("k", "source", "ru_text"))).alias("ns"), F.count_if(F.col("ru_text").isNull()).alias("lost")).where("lost = 0")
+    return rows.select("source_fingerprint", "unit_id", F.col("ns.source").alias("sources"), F.col("ns.ru_text").alias("translations"))
+
+
+def plan_summary(pages: DataFrame, units: DataFrame) -> DataFrame:
+    """``doc_id, units, nodes, skipped_pages`` of each document of ``pages(doc_id, page_number, route)``; pages shown as an image are skipped."""
+    own = units.groupBy("doc_id").agg(F.count(F.lit(1)).alias("units"), F.sum(F.size("nodes")).alias("nodes"))
+    every = pages.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.when(F.col("route") == "facsimile", F.col("page_number")))).alias("skipped_pages"))
+    return every.join(own, "doc_id", "left").select("doc_id", F.coalesce("units", F.lit(0)).alias("units"), F.coalesce("nodes", F.lit(0)).alias("nodes"), "skipped_pages")

@@ -9,7 +9,7 @@ import os
 from .plans.stages import MODES, Runner, document_stages, package, with_optional
 from .sinks.files import folder_hash
 from .sources.files import keep_pages, parse_pages
-from .sources.tables import table
+from .sources.tables import table, version
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> int:
     texts = keep_pages(table(spark, args.folder, "text_primitives"), parse_pages(args.pages) if args.pages else None)
     runner = Runner(spark, args.store, args.cache)
     inputs = {"texts": texts, "terms": table(spark, args.folder, "glossary_terms"), "titles": table(spark, args.folder, "doc_summaries").select("doc_id", "title_en", "title_ru")}
-    versions = {name: f"{args.folder}:{args.pages}" for name in inputs}
+    read = {"texts": "text_primitives", "terms": "glossary_terms", "titles": "doc_summaries"}
+    versions = {name: f"{v}:{args.pages}" for name, source in read.items() if (v := version(args.folder, source))}
     memory = os.path.join(args.memory, "memory") if args.memory else None
     if memory and os.path.exists(os.path.join(memory, "_SUCCESS")):
         inputs["memory"], versions["memory"] = spark.read.parquet(memory), str(folder_hash(memory))

@@ -11,6 +11,7 @@ import hashlib
 import json
 import os
 import time
+import uuid
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
@@ -83,8 +84,11 @@ class Runner:
         return hashlib.sha256(json.dumps(parts, sort_keys=True, default=str).encode()).hexdigest()
 
     def run(self, stages: list[Stage], inputs: Mapping[str, DataFrame], versions: Mapping[str, str] | None = None) -> dict[str, DataFrame]:
-        """Tables by name: the inputs and the result of each stage.  A failed stage is logged and raised."""
-        tables, keys = dict(inputs), dict(versions or {})
+        """Tables by name: the inputs and the result of each stage.  A failed stage is logged and raised.
+
+        What depends on an input without a version is never read back: nothing tells whether it changed.
+        """
+        tables, keys = dict(inputs), {**{n: f"unknown:{uuid.uuid4()}" for n in inputs}, **(versions or {})}
         for stage in stages:
             began, at = time.time(), datetime.now(timezone.utc)
             key = keys[stage.name] = self.key(stage, keys)

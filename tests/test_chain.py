@@ -4,7 +4,9 @@ import os
 
 from pyspark.sql import functions as F
 
-from quirespark.plans.stages import Runner, document_stages, package, with_optional
+from quirespark import cli
+from quirespark.plans.stages import Registry, Runner, Stage, document_stages, package, with_optional
+from quirespark.sources.tables import version
 
 from .conftest import rows
 
@@ -76,3 +78,30 @@ def test_whole_run(spark, data, tmp_path):
     assert t["releases"].count() == docs == t["doc_summary"].count() == t["catalog_new"].count()
     made = package(t, str(tmp_path / "out"))
     assert len(made) == docs and all(os.path.exists(m["archive"]) == m["accepted"] for m in made if m["accepted"])
+
+
+def test_inputs_are_known_by_their_files(spark, tmp_path):
+    name = lambda: version(str(tmp_path), "t")
+    assert name() is None
+    spark.range(2).write.parquet(str(tmp_path / "t.parquet"))
+    first = name()
+    assert first and first == name()
+    spark.range(2).write.mode("append").parquet(str(tmp_path / "t.parquet"))
+    assert name() != first
+    count = Stage("count", lambda t: t["in"].agg(F.count("*").alias("n")), ("in",))
+    run = lambda n: Runner(spark, str(tmp_path / "store")).run([count], {"in": spark.range(n)})["count"].first()["n"]
+    assert (run(2), run(3)) == (2, 3)
+
+
+def test_cli_notices_changed_rows(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr("quirespark.session.local_session", lambda: spark)
+    reg = Registry()
+    reg.register(Stage("count", lambda t: t["texts"].agg(F.count("*").alias("n")), ("texts",)))
+    monkeypatch.setattr(cli, "document_stages", lambda: reg)
+    for source in ("text_primitives", "glossary_terms", "doc_summaries"):
+        spark.read.parquet(f"{data}/{source}.parquet").write.parquet(str(tmp_path / f"{source}.parquet"))
+    store = tmp_path / "store"
+    made = lambda: (cli.main(["run", str(tmp_path), str(store)]), len(os.listdir(store / "count")))[1]
+    assert (made(), made()) == (1, 1)
+    spark.read.parquet(f"{data}/text_primitives.parquet").limit(5).write.mode("append").parquet(str(tmp_path / "text_primitives.parquet"))
+    assert made() == 2

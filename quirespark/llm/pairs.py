@@ -1,8 +1,9 @@
 """Problem 2: defective answers among prompt and response pairs.
 
-Languages of a source and of the sentences of its answer are compared by the
-posteriors of a character n-gram naive Bayes; words that an answer shares with
-its source (names, codes) say nothing about its language.  An answer whose last
+The language of each sentence of an answer is held against the language asked
+for (Russian) by the posteriors of a character n-gram naive Bayes; the source's
+own language is not scored, but words that an answer shares with its source
+(names, codes) say nothing about the answer's.  An answer whose last
 characters seldom end a text, under an interpolated n-gram model of ends, or
 whose kind of ending does not go with that of its source, breaks off, as does
 one with fewer sentences than its source or far less text.

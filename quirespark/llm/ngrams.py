@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 LANGUAGES = ("de", "en", "es", "fr", "ru", "uk")
 BUCKETS = 1 << 16
 #: Labelled documents of a language that a classifier is fitted on, and characters of each.
-SAMPLE_DOCUMENTS = 160
-SAMPLE_CHARS = 2500
+SAMPLE_DOCUMENTS = 250
+SAMPLE_CHARS = 3000
 
 _OTHER = regex.compile(r"[^\p{L}]+")
 

@@ -25,6 +25,15 @@ TEXT = {
 }
 
 
+def test_samples_are_not_cut(spark):
+    import inspect
+
+    long = spark.range(300).selectExpr("id AS doc_id", "'en' AS lang", "repeat('roll the die ', 400) AS text")
+    texts, _ = ngrams.labelled_sample(long)
+    assert (len(texts), {len(t) for t in texts}) == (250, {3000})
+    assert inspect.signature(language.fit_chain).parameters["steps"].default == 80
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(0)
     like, step = rng.random((4, 1, 3)).astype(np.float32), rng.random((3, 3)).astype(np.float32)

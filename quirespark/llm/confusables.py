@@ -39,9 +39,9 @@ _KEPT = regex.compile(rf"(?<={_EMOJI})‍(?={_EMOJI})|(?<=[\p{{Extended_Pictogra
 _HIDDEN = regex.compile(r"[\p{Cf}͏ᅟᅠ឴឵᠋-᠎ㅤﾠ︀-️]")
 _SPACES = regex.compile(r"[\p{Zs}  --[ ]]", regex.V1)
 _WORD = regex.compile(r"\p{L}[\p{L}\p{M}]*")
-_SCRIPT = regex.compile(r"(\p{Latin})|(\p{Cyrillic})|(\p{Greek})")
+_SCRIPT = regex.compile(r"(\p{Latin})|(\p{Cyrillic})|(\p{Greek})|(\p{Armenian})")
 #: Nothing to do where a text has only these and the letters of one alphabet.
-_PLAIN = regex.compile(r"[\n\r\t -~¡-¬®-ÿĀ-ıĴ-ſ‐-‟•…‰′-›№™€−×ЁА-яёІіЇїЄєҐґ]*+")
+_PLAIN = regex.compile(r"[\n\r\t -~¡-¬®-ÿĀ-ıĴ-ňŊ-ž‐-‟•…‰′-›№™€−×ЁА-яёІіЇїЄєҐґ]*+")
 _LATIN = regex.compile(r"[A-Za-z]")
 _CYRILLIC = regex.compile(r"[Ѐ-ӿ]")
 
@@ -86,7 +86,7 @@ def fold(text: str) -> str:
 
 def script(char: str) -> str:
     m = _SCRIPT.match(char)
-    return "LCG"[m.lastindex - 1] if m else ""
+    return "LCGA"[m.lastindex - 1] if m else ""
 
 
 def _scripts(word: str) -> Counter:
@@ -95,7 +95,7 @@ def _scripts(word: str) -> Counter:
 
 def _stand_in(word: str, target: str) -> str | None:
     """``word`` in the alphabet ``target``, or None where a letter has no counterpart there."""
-    table = {"C": TO_CYRILLIC, "G": TO_GREEK}.get(target)
+    table = {"C": TO_CYRILLIC, "G": TO_GREEK}.get(target, {})
     out = []
     for c in word:
         s = script(c)

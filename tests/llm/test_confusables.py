@@ -31,3 +31,11 @@ def test_records(spark):
     g = spark.createDataFrame([("d", "i0", "glossary_ref", "Boppac"), ("d", "i1", "glossary_ref", None), ("d", "i2", "text", "shоwn"), ("d", "i3", "glossary_ref", "Воррас")], "doc_id string, inline_id string, kind string, surface_form string")
     assert rows(c.found(p, g)) == sorted([("glossary_ref", "d", "i0"), ("text_primitive", "d", "t3"), ("text_primitive", None, "t4"), ("text_primitive", "d", "t5")], key=repr)
     assert c.found(p.limit(0), g.limit(0)).count() == 0
+
+
+def test_long_s_and_armenian_letters_in_sentences():
+    assert c.usual("the laſt gate stands open and ŉ waits") == "the last gate stands open and ʼn waits"
+    assert c.usual("ſt") == "st"
+    assert c.usual("roll the stօrm die") == "roll the storm die"
+    assert c.usual("roll the օս die")[9:11] == "ou"
+    assert c.usual("Սահմանը բաց է") == "Սահմանը բաց է"

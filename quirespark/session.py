@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-import os
+import atexit
+import shutil
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Session setting: partitions that inputs of heavy text work are spread over.  Unset, nothing is spread.
+INPUT_PARTITIONS = "quirespark.inputPartitions"
+
 
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory: str = "12g") -> SparkSession:
     """A local session with the settings the engine is tuned for.
@@ -20,6 +24,7 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions or cpus))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        .config(INPUT_PARTITIONS, str(cpus))
         .config("spark.driver.memory", memory)
         .config("spark.driver.host", "127.0.0.1")
         .config("spark.ui.enabled", "false")
@@ -32,24 +37,30 @@ def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """``df`` over as many partitions as there are cores where it has fewer.
+    """``df`` over as many partitions as the session setting ``INPUT_PARTITIONS`` says; unset, as it is read.
 
-    For work that is heavy for its bytes (Python, regular expressions): a small
-    table of one row group would else keep one core busy.  A table with enough
-    partitions, as every large one has, is left alone and not shuffled.
+    For single files of one row group, as in the bench, which would else keep one
+    core busy.  The size of the input plays no part in it.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    wanted = df.sparkSession.conf.get(INPUT_PARTITIONS, None)
+    return df.repartition(int(wanted)) if wanted else df
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the folder named in ``spark.checkpoint.dir``; set one only where none is set."""
+    """The folder named in ``spark.checkpoint.dir``.
+
+    A local session without one gets a temporary folder; on a cluster, where
+    executors would not share it, that is an error.
+    """
     sc = spark.sparkContext
     have = sc.getCheckpointDir()
     if have:
         return have
     named = sc.getConf().get("spark.checkpoint.dir", None)
     if not named:
-        named = os.path.join(tempfile.gettempdir(), f"quirespark-checkpoints-{os.getuid()}")
+        if not (sc.master.startswith("local[") or sc.master == "local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        named = tempfile.mkdtemp(prefix="quirespark-checkpoints-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     sc.setCheckpointDir(named)
     return named

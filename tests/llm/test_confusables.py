@@ -39,3 +39,21 @@ def test_long_s_and_armenian_letters_in_sentences():
     assert c.usual("roll the stօrm die") == "roll the storm die"
     assert c.usual("roll the օս die")[9:11] == "ou"
     assert c.usual("Սահմանը բաց է") == "Սահմանը բաց է"
+
+
+def test_groups_settle_what_nothing_around_does(spark):
+    texts = ["OATH CAPE held", "CAPE of OATH", "the OATH", "ОАТН САРЕ", "Draw the ОАТН САРЕ now", "Сор", "." * 90 + " ОАТН", "Ꭺshen gate"]
+    p = spark.createDataFrame([("d", f"t{k}", t) for k, t in enumerate(texts + 4 * ["the OATH of the CAPE"])], "doc_id string, primitive_id string, text string")
+    g = spark.createDataFrame([], "doc_id string, inline_id string, kind string, surface_form string")
+    got = {r["item_key"]: r["usual"] for r in c.usual_forms(p, g).collect()}
+    assert got == {"t3": "OATH CAPE", "t4": "Draw the OATH CAPE now", "t6": "." * 90 + " OATH", "t7": "Ashen gate"}
+
+
+def test_table_of_the_library(spark):
+    table = c.Prototypes.of(spark)
+    assert len(table.table) > 2000
+    assert table.skeleton("ΡаураӀ") == table.skeleton("Paypal") and table.skeleton("Gate") != table.skeleton("Gale")
+    for text in [*CHANGED.values(), *KEPT]:
+        assert c.usual(text, table) == text
+    for text, want in CHANGED.items():
+        assert c.usual(text, table) == want

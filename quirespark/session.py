@@ -9,7 +9,7 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 
 #: Session setting: partitions that inputs of heavy text work are spread over.  Unset, nothing is spread.
-INPUT_PARTITIONS = "quirespark.inputPartitions"
+INPUT_PARTITIONS = "spark.quirespark.inputPartitions"
 
 
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None, memory: str = "12g") -> SparkSession:

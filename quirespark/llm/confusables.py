@@ -126,7 +126,7 @@ class Prototypes:
     def of(cls, spark: SparkSession) -> "Prototypes":
         """Unicode's table of look-alikes, from the skeletons of all characters in one call of the library."""
         mark = "\ue000"
-        chars = [c for c in map(chr, [*range(0xA0, 0xD800), *range(0xF900, 0x30000)]) if unicodedata.category(c)[0] in "LMNSP" and not 0x3400 <= ord(c) < 0xA000 and not 0xAC00 <= ord(c) < 0xD7A4 and not 0x20000 <= ord(c)]
+        chars = [c for c in map(chr, [*range(0x21, 0x7F), *range(0xA0, 0xD800), *range(0xF900, 0x30000)]) if unicodedata.category(c)[0] in "LMNSP" and not 0x3400 <= ord(c) < 0xA000 and not 0xAC00 <= ord(c) < 0xD7A4 and not 0x20000 <= ord(c)]
         checker = spark._jvm.com.ibm.icu.text.SpoofChecker.Builder().build()
         looks = checker.getSkeleton(0, mark.join(chars)).split(mark)
         if len(looks) != len(chars):

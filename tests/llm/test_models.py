@@ -122,18 +122,47 @@ def test_alignment(spark, data):
     assert alignment.found(df.limit(0), labels.limit(0)).count() == 0
 
 
-def test_long_page_in_windows(spark):
-    """A page of more rows than a window: neighbours are still paired, each pair once."""
-    import pickle
+def page_of(spark, rows):
+    return spark.createDataFrame([("d", 1, f"b{k:04d}", 0, f"i{k:04d}", a, b) for k, (a, b) in enumerate(rows)], "doc_id string, page_number int, block_id string, node_ord int, inline_id string, text string, ru_text string")
+
+
+@pytest.mark.parametrize("n", [100, 2000])
+def test_long_page_with_far_moved_sentences(n):
+    """A page, of 2,000 rows too, a fifth of them moved anywhere: each pair once, by either way of summing up."""
+    rng = np.random.default_rng(3)
+    place = np.arange(n)
+    moved = rng.choice(n, n // 5, replace=False)
+    place[moved] = place[rng.permutation(moved)]
+    made = [(f"Item {k} of the Torvale{k} list.", f"Предмет {int(p)} из «Torvale{int(p)}».") for k, p in enumerate(place)]
+    lex = alignment.Lexicon.of_rows([("Item 1 of the list.", "Предмет 1 из списка.")] * 30)
+    en = [alignment.Sentence(f"i{k:04d}", 1, a, True, lex.kinds) for k, (a, _) in enumerate(made)]
+    ru = [alignment.Sentence(f"i{k:04d}", 1, b, False, lex.kinds) for k, (_, b) in enumerate(made)]
+    got = alignment.Book(lex).align([alignment.Page(lex, en, ru)])[0]
+    want = sorted((int(p), k) for k, p in enumerate(place))
+    assert len(set(got) & set(want)) >= 0.99 * n and len(got) <= 1.01 * n
+
+
+def test_both_ways_of_finding_pairs_agree(spark, data):
+    inl, nav = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("inline_nodes", "navigation"))
+    lex = alignment.learn(inl, nav)
+    pages: dict = {}
+    for r in inl.where("text <> '' or ru_text <> ''").distinct().orderBy("doc_id", "page_number", "block_id", "node_ord").collect():
+        pages.setdefault((r["doc_id"], r["page_number"]), []).append(r)
+    made = []
+    for rs in pages.values():
+        en = [alignment.Sentence(r["inline_id"], k, s, True, lex.kinds) for r in rs for k, s in enumerate(alignment.sentences(r["text"]), 1)]
+        ru = [alignment.Sentence(r["inline_id"], k, s, False, lex.kinds) for r in rs for k, s in enumerate(alignment.sentences(r["ru_text"]), 1)]
+        if en and ru:
+            made.append(alignment.Page(lex, en, ru))
+    assert alignment.Book(lex).near(made) == [alignment.Page(lex, p.en, p.ru).near() for p in made]
+
 
-    n = 700
-    df = spark.createDataFrame([("d", 1, f"b{k:04d}", 0, f"i{k:04d}", f"Item {k} of the Torvale{k} list.", f"Предмет {k} из «Torvale{k}».") for k in range(n)], "doc_id string, page_number int, block_id string, node_ord int, inline_id string, text string, ru_text string")
-    lex = spark.sparkContext.broadcast(pickle.dumps(alignment.Lexicon([("Item 1 of the list.", "Предмет 1 из списка.")] * 30)))
-    got = rows(alignment.page_pairs(df, lex).distinct(), "en_key", "ru_key")
-    assert got == [(f"i{k:04d}", f"i{k:04d}") for k in range(n)]
+def test_heaviest_increasing():
+    assert alignment.heaviest_increasing([(0, 2, 0.9), (1, 0, 0.5), (2, 1, 0.5), (2, 3, 0.2)]) == [(0, 2), (2, 3)]
+    assert alignment.heaviest_increasing([]) == []
 
 
 def test_learn_without_rows():
-    lex = alignment.Lexicon([])
+    lex = alignment.Lexicon.of_rows([])
     s = [alignment.Sentence("a", 1, "Draw 3 cards", True, lex.kinds)], [alignment.Sentence("b", 1, "Возьмите 3", False, lex.kinds)]
     assert alignment.Page(lex, *s).align() in ([], [(0, 0)])

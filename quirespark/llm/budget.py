@@ -14,11 +14,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .batches import pieces
 from .bpe import worker_encoder
 from .encoding import TOKENIZERS, VOCABULARY, rank_file
 
-SLICE = 2000
-
 
 def text_hash(text: Column) -> Column:
     """128 bits of two differently seeded hashes of a text."""
@@ -32,8 +31,7 @@ def token_counts(texts: DataFrame, tokenizers: str = TOKENIZERS, vocabulary: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(ranks.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in pieces(batch, (1,)):
                 counts = encoder.count_batch([t or "" for t in part.column(1).to_pylist()])
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64())], ["h", "tokens"])
 

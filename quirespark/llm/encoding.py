@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
+from .batches import pieces
 from .bpe import worker_encoder
 
 #: Where the vocabulary files lie; a parameter of every operator that needs one.
@@ -41,8 +42,7 @@ def encode(df: DataFrame, key: str = "doc_id", text: str = "text", tokenizers: s
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(ranks.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in pieces(batch, (1,), SLICE):
                 ids, counts = encoder.encode_batch([t or "" for t in part.column(1).to_pylist()])
                 offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
                 lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(ids, pa.int32()))

@@ -23,13 +23,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
+from .batches import pieces
 from .ngrams import clean_lines, label_code, labelled_sample
 
 chain_of = _chain.from_iterable
 
 FEATURES = 1 << 17
 MEMO_WORDS = 400_000
-SLICE = 2000
 #: Words (padding included) that run through the chain together.
 CELLS = 120_000
 #: A foreign line has at least so many words and letters, one of the words in small letters (names and terms have none).
@@ -53,7 +53,7 @@ def features(word: str) -> list[int]:
     for n in (1, 2, 3):
         names += [f"p{word[:n]}", f"s{word[-n:]}"]
     names += [w[i : i + 3] for i in range(len(w) - 2)] + [w[i : i + 2] for i in range(len(w) - 1)]
-    return [zlib.crc32(x.encode("utf-8", "replace")) & (FEATURES - 1) for x in names[:64]]
+    return [zlib.crc32(x.encode("utf-8", "replace")) & (FEATURES - 1) for x in names]
 
 
 class Chain:
@@ -156,13 +156,15 @@ def fit_chain(texts: list[str], labels: list[str], length: int = 96, steps: int
     """
     if not texts:
         return None
-    lines, owner, _ = clean_lines(texts, labels)
-    if not lines:
+    _, _, by_text = clean_lines(texts, labels)
+    # The labels are those given; the classifier of single lines only says which of them to trust.
+    trusted = [(line, lang) for lines, given in zip(by_text, labels) for line, lang in lines if lang == given]
+    if not trusted:
         return None
-    names = tuple(sorted(set(owner)))
+    names = tuple(sorted({lang for _, lang in trusted}))
     L = len(names)
     by: list[list[list[str]]] = [[] for _ in names]
-    for line, lang in zip(lines, owner):
+    for line, lang in trusted:
         words = [w for w in map(word_of, line.split()) if w]
         if words:
             by[names.index(lang)].append(words)
@@ -218,8 +220,13 @@ def fit_chain(texts: list[str], labels: list[str], length: int = 96, steps: int
     return Chain(names, weights, moves)
 
 
-def label_batch(chain: Chain, texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int, float]]]:
-    """Main language (or -1) and its share for each text, and (text, line, language, share) of lines in another."""
+def label_batch(chain: Chain, texts: list[str], spans: list | None = None) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int, float]]]:
+    """Main language (or -1) and its share for each text, and (text, line, language, share) of lines in another.
+
+    ``spans`` is filled with (text, line, first word, last word, language, share)
+    of runs of words in another language than the text, words counted from 1
+    within their line.
+    """
     lines = [[line.split() for line in text.split("\n")] for text in texts]
     sizes = np.fromiter(map(len, chain_of(lines)), np.int64)
     chunks = list(chain_of(chain_of(lines)))
@@ -227,12 +234,13 @@ def label_batch(chain: Chain, texts: list[str]) -> tuple[np.ndarray, np.ndarray,
     if not chunks:
         return main, share, []
     index = chain.index(chunks)
+    place = np.arange(len(chunks)) - np.repeat(np.cumsum(sizes) - sizes, sizes) + 1
     per_text = np.fromiter(map(len, lines), np.int64, len(lines))
     text_of_line = np.repeat(np.arange(len(texts)), per_text)
     number = np.arange(len(sizes)) - np.repeat(np.cumsum(per_text) - per_text, per_text) + 1
     line_of = np.repeat(np.arange(len(sizes)), sizes)
     has = chain.letters[index] > 0
-    words, line_of = index[has], line_of[has]
+    words, line_of, place = index[has], line_of[has], place[has]
     if not len(words):
         return main, share, []
     letters = chain.letters[words]
@@ -253,6 +261,17 @@ def label_batch(chain: Chain, texts: list[str]) -> tuple[np.ndarray, np.ndarray,
     part = by_line[np.arange(len(best)), best] / total
     foreign = (best != main[text]) & (small > 0) & (count >= LEAST_WORDS) & (size >= LEAST_LETTERS) & (part >= LEAST_SHARE)
     at = np.flatnonzero(foreign)
+    if spans is not None:
+        top = post.argmax(axis=1)
+        first = np.flatnonzero(np.concatenate([[True], (line_of[1:] != line_of[:-1]) | (top[1:] != top[:-1])]))
+        number_of = np.diff(np.concatenate([first, [len(words)]]))
+        lang, owner = top[first], text_of_line[line_of[first]]
+        mass = np.add.reduceat(post[np.arange(len(top)), top] * letters, first)
+        long = np.add.reduceat(letters, first)
+        low = np.add.reduceat(chain.plain[words], first, dtype=np.int64)
+        good = np.flatnonzero((lang != main[owner]) & (number_of >= LEAST_WORDS) & (long >= LEAST_LETTERS) & (low > 0) & (mass >= LEAST_SHARE * long))
+        last = first + number_of - 1
+        spans += zip(owner[good].tolist(), number[line_of[first[good]]].tolist(), place[first[good]].tolist(), place[last[good]].tolist(), lang[good].tolist(), (mass[good] / long[good]).tolist())
     return main, share, list(zip(text[at].tolist(), number[used[at]].tolist(), best[at].tolist(), part[at].tolist()))
 
 
@@ -286,8 +305,7 @@ def languages(documents: DataFrame, chain: Chain | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _worker_chain(model.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                part = batch.slice(at, SLICE)
+            for part in pieces(batch, (2,)):
                 ids, labels = part.column(0).to_pylist(), part.column(1).to_pylist()
                 main, share, foreign = label_batch(own, part.column(2).to_pylist())
                 rows = [(ids[k], labels[k], 0, own.labels[main[k]], float(share[k])) for k in np.flatnonzero(main >= 0).tolist()]
@@ -301,6 +319,36 @@ def languages(documents: DataFrame, chain: Chain | None = None) -> DataFrame:
     return source.mapInArrow(run, cols)
 
 
+def segments(documents: DataFrame, chain: Chain | None = None) -> DataFrame:
+    """``doc_id, line_no, from_word, to_word, lang, confidence``: runs of words in another language than their document's.
+
+    Words are counted from 1 between white space within a line; a run within a
+    line is long enough by the measures of a foreign line.  Nulls and empty
+    tables as in :func:`languages`.
+    """
+    spark = documents.sparkSession
+    cols = "doc_id bigint, line_no int, from_word int, to_word int, lang string, confidence double"
+    if chain is None:
+        chain = fit_chain(*labelled_sample(documents))
+    if chain is None:
+        return spark.createDataFrame([], cols)
+    model = spark.sparkContext.broadcast(pickle.dumps(chain))
+    source = spread(documents.where(F.length("text") > 0).select("doc_id", "text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = _worker_chain(model.value)
+        for batch in batches:
+            for part in pieces(batch, (1,)):
+                ids, got = part.column(0).to_pylist(), []
+                label_batch(own, part.column(1).to_pylist(), got)
+                if got:
+                    rows = [(ids[k], line, a, b, own.labels[lang], sure) for k, line, a, b, lang, sure in got]
+                    kinds = (pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.string(), pa.float64())
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["doc_id", "line_no", "from_word", "to_word", "lang", "confidence"])
+
+    return source.mapInArrow(run, cols)
+
+
 def found(documents: DataFrame) -> DataFrame:
     """``doc_id, line_no, lang``: documents with a missing or wrong label, and foreign lines."""
     rows = languages(documents)

@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import spread
+from .batches import pieces
 from .confusables import PROTOTYPE, fold
 from .fmindex import FMIndex
 
@@ -249,8 +250,7 @@ def spans(documents: DataFrame, items: DataFrame) -> DataFrame:
                     )
 
             for batch in batches:
-                for at in range(0, batch.num_rows, 2000):
-                    part = batch.slice(at, 2000)
+                for part in pieces(batch, (1,)):
                     ids, counts = passages.ids(part.column(1).to_pylist())
                     docs += part.column(0).to_pylist()
                     parts.append(ids.astype(np.int32))

@@ -79,17 +79,26 @@ def label_code(column) -> "F.Column":
 
 
 def labelled_sample(documents: DataFrame, per_language: int = SAMPLE_DOCUMENTS, chars: int = SAMPLE_CHARS) -> tuple[list[str], list[str]]:
-    """Texts and labels of at most ``per_language`` documents of each known language.
+    """Texts (of more than twenty characters) and labels of at most ``per_language`` documents of each known language.
 
-    The documents are chosen by a hash of their id; only this bounded sample
-    (``6 * per_language`` texts of ``chars`` characters) reaches the driver.
+    Documents are counted by label first, so that each language is sampled at a
+    rate of its own and a rare one is taken whole.  They are chosen by a hash of
+    their id; only this bounded sample (``6 * per_language`` texts of ``chars``
+    characters) reaches the driver.
     """
-    total = documents.count()
-    share = min(1.0, 8.0 * per_language * len(LANGUAGES) / max(total, 1))
-    order = F.xxhash64(F.lit("sample"), "doc_id")
-    some = documents.select("doc_id", "lang", F.substring("text", 1, chars).alias("text"), order.alias("order"))
-    some = some.where((F.shiftrightunsigned("order", 1) <= min(int(share * 2**63), 2**63 - 1)) & label_code(F.col("lang")).isin(*LANGUAGES) & (F.length("text") > 20))
-    picked = some.groupBy(label_code(F.col("lang")).alias("code")).agg(F.slice(F.sort_array(F.collect_list(F.struct("order", "text"))), 1, per_language).alias("rows"))
+    code = label_code(F.col("lang"))
+    usable = documents.select("doc_id", code.alias("code"), "text").where(F.col("code").isin(*LANGUAGES) & (F.length("text") > 20))
+    counts = {r["code"]: r["n"] for r in usable.groupBy("code").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not counts:
+        return [], []
+    order = F.shiftrightunsigned(F.xxhash64(F.lit("sample"), "doc_id"), 1)
+    # Twice the number wanted, so that chance leaves no language short.
+    share = {c: min(1.0, (2.0 * per_language + 50) / n) for c, n in counts.items()}
+    fine = F.lit(False)
+    for c, x in share.items():
+        fine = fine | ((F.col("code") == c) & (order <= min(int(x * 2**63), 2**63 - 1)))
+    some = usable.where(fine).select("code", order.alias("order"), F.substring("text", 1, chars).alias("text"))
+    picked = some.groupBy("code").agg(F.slice(F.sort_array(F.collect_list(F.struct("order", "text"))), 1, per_language).alias("rows"))
     texts, labels = [], []
     for row in sorted(picked.collect(), key=lambda r: r["code"]):
         texts += [r["text"] for r in row["rows"]]

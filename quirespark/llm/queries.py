@@ -59,6 +59,10 @@ def p9_languages(spark: SparkSession, d: str) -> DataFrame:
     return language.languages(table(spark, d, "documents"))
 
 
+def p9_segments(spark: SparkSession, d: str) -> DataFrame:
+    return language.segments(table(spark, d, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k[0] == "p" and k[1:2].isdigit()}
 

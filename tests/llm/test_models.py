@@ -34,6 +34,37 @@ def test_samples_are_not_cut(spark):
     assert inspect.signature(language.fit_chain).parameters["steps"].default == 80
 
 
+def test_rare_language_is_sampled_whole(spark):
+    docs = spark.range(30_000).selectExpr("id AS doc_id", "if(id % 10000 = 7, 'UK-ua', 'en ') AS lang", "if(id % 10000 = 7, 'Киньте кубик бурі та додайте шість', 'Roll the storm die and add six') AS text")
+    texts, labels = ngrams.labelled_sample(docs)
+    assert (labels.count("uk"), labels.count("en")) == (3, 250)
+    assert ngrams.labelled_sample(docs.limit(0)) == ([], [])
+
+
+def test_long_words_keep_their_features():
+    word = "donau" * 20
+    assert len(language.features(word)) == 7 + len(word) + (len(word) + 1)
+
+
+def test_pieces_hold_rows_and_bytes():
+    import pyarrow as pa
+
+    from quirespark.llm.batches import pieces
+
+    batch = pa.RecordBatch.from_arrays([pa.array(["a", None, "b" * 50, "", "c" * 9, "d"])], ["t"])
+    assert [p.num_rows for p in pieces(batch, (0,), 3, 10)] == [2, 1, 3]
+    assert [p.num_rows for p in pieces(batch, (0,), 2)] == [2, 2, 2]
+    assert list(pieces(batch.slice(0, 0), (0,))) == []
+
+
+def test_segments_within_a_line(spark, chain):
+    line = "Roll the storm die and add six supplies before the lanterns go out and Der Anführer darf Vorräte ausgeben aber nur einmal pro Kapitel then pass the torch to the left"
+    docs = spark.createDataFrame([(1, TEXT["en"] * 3 + "\n" + line), (2, None), (3, ""), (4, TEXT["ru"])], "doc_id bigint, text string")
+    (got,) = language.segments(docs, chain).collect()
+    assert (got["doc_id"], got["line_no"], got["lang"]) == (1, 2, "de") and abs(got["from_word"] - 15) <= 1 and abs(got["to_word"] - 24) <= 1
+    assert language.segments(docs.limit(0)).count() == 0
+
+
 def test_forward_backward_is_exact():
     rng = np.random.default_rng(0)
     like, step = rng.random((4, 1, 3)).astype(np.float32), rng.random((3, 3)).astype(np.float32)

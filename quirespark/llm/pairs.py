@@ -1,12 +1,14 @@
 """Problem 2: defective answers among prompt and response pairs.
 
-The language of each sentence of an answer is held against the language asked
-for (Russian) by the posteriors of a character n-gram naive Bayes; the source's
-own language is not scored, but words that an answer shares with its source
-(names, codes) say nothing about the answer's.  An answer whose last
-characters seldom end a text, under an interpolated n-gram model of ends, or
-whose kind of ending does not go with that of its source, breaks off, as does
-one with fewer sentences than its source or far less text.
+The languages of a prompt and of its response are compared by the posteriors of a
+character n-gram naive Bayes: the language asked for and that of the prompt are
+what a response is expected in beforehand, and each sentence of it is scored
+without the words that it shares with the prompt (names, codes).  A response
+breaks off where an interpolated n-gram model of ends, counted over all
+responses, finds that texts seldom end on its last characters and that such an
+ending seldom goes with that of its prompt; a response that ends well but has
+fewer sentences than its prompt, or far less text, lacks its end as well.  Empty
+responses, refusals and copies show in no posterior and are decided by words.
 """
 
 from __future__ import annotations
@@ -18,15 +20,19 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import ensure_checkpoint_dir
+from .batches import pieces
 from .ngrams import CharBayes, clean_lines, labelled_sample
 
 TARGET = "ru"
-#: Answers that the model of ends is fitted on, chosen by a hash, and characters of each.
-SAMPLE_ANSWERS = 20_000
-SAMPLE_CHARS = 2_000
+#: Slots of the table of n-grams of each order, and the longest n-gram, of the model of ends.
+SLOTS = 1 << 17
+ORDER = 4
+#: What a response's language is taken to be beforehand: the one asked for, the prompt's, any.
+EXPECTED = (0.5, 0.35, 0.15)
 #: Below these an ending is not one of a complete text.
 LEAST_END = 0.01
 LEAST_PAIR = 0.015
@@ -66,43 +72,69 @@ def ending(text: str) -> str:
     return ""
 
 
+def _slots(codes: list[np.ndarray]) -> np.ndarray:
+    """Slot of the n-gram of characters whose codes stand in the arrays, one after the other."""
+    mixed = np.zeros(len(codes[0]), np.uint64)
+    for c in codes:
+        mixed = (mixed ^ c.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+        mixed ^= mixed >> np.uint64(29)
+    return (mixed % np.uint64(SLOTS)).astype(np.int64)
+
+
+def count_ends(answers: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How often the n-grams of each slot occur in texts and end them, for orders 1 to ``ORDER``."""
+    seen, ends = np.zeros((ORDER, SLOTS), np.int64), np.zeros((ORDER, SLOTS), np.int64)
+    texts = [t for t in (a.rstrip() for a in answers) if t]
+    if not texts:
+        return seen, ends
+    lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+    codes = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), np.uint32)
+    stops = np.cumsum(lengths)
+    place = np.arange(len(codes)) - np.repeat(stops - lengths, lengths)
+    for n in range(1, ORDER + 1):
+        at = np.flatnonzero(place >= n - 1)
+        slot = _slots([codes[at - n + 1 + k] for k in range(n)])
+        seen[n - 1] += np.bincount(slot, minlength=SLOTS)
+        last = np.zeros(len(codes), bool)
+        last[stops - 1] = True
+        ends[n - 1] += np.bincount(slot[last[at]], minlength=SLOTS)
+    return seen, ends
+
+
 class Ends:
     """How likely the last characters of an answer end a text, and how endings of source and answer go together."""
 
-    def __init__(self, sources: list[str], answers: list[str], order: int = 4) -> None:
-        self.order = order
-        self.any: list[Counter] = [Counter() for _ in range(order + 1)]
-        self.end: list[Counter] = [Counter() for _ in range(order + 1)]
-        self.pairs: Counter = Counter()
+    def __init__(self, seen: np.ndarray, ends: np.ndarray, pairs: dict[tuple[str, str], int]) -> None:
+        self.seen, self.ends, self.pairs = seen, ends, pairs
+        self.base = float(ends[0].sum() / max(1, seen[0].sum()))
         self.heads: Counter = Counter()
-        for source, answer in zip(sources, answers):
-            a, s = answer.rstrip(), ending(source)
-            if not a:
-                continue
-            for n in range(1, order + 1):
-                self.any[n].update(a[i : i + n] for i in range(len(a) - n + 1))
-                self.end[n][a[-n:]] += 1
-            self.pairs[s, ending(a)] += 1
-            self.heads[s] += 1
-        total = sum(self.end[1].values())
-        self.base = total / max(1, sum(self.any[1].values()))
-        for n in range(2, order + 1):
-            self.any[n] = Counter({g: c for g, c in self.any[n].items() if c > 2})
-
-    def likelihood(self, answer: str) -> float:
-        """P(text ends here | last characters), one to ``order`` of them, interpolated."""
-        a, p = answer.rstrip(), self.base
-        for n in range(1, min(self.order, len(a)) + 1):
-            seen, ends = self.any[n][a[-n:]], self.end[n][a[-n:]]
-            # The answer itself may be one of the sample: one count less.
-            seen, ends = max(0, seen - 1), max(0, ends - 1)
-            p = (ends + 8 * p) / (seen + 8)
+        for (s, _), n in pairs.items():
+            self.heads[s] += n
+
+    @classmethod
+    def of(cls, sources: list[str], answers: list[str]) -> "Ends":
+        """The model of texts at hand."""
+        return cls(*count_ends(answers), Counter((ending(s), ending(a)) for s, a in zip(sources, answers) if a.rstrip()))
+
+    def likelihoods(self, answers: list[str]) -> np.ndarray:
+        """P(text ends here | last characters), one to ``ORDER`` of them, interpolated."""
+        texts = [a.rstrip() for a in answers]
+        p = np.full(len(texts), self.base)
+        for n in range(1, ORDER + 1):
+            at = np.flatnonzero([len(t) >= n for t in texts])
+            if not len(at):
+                break
+            codes = np.frombuffer("".join(texts[k][-n:] for k in at).encode("utf-32-le", "replace"), np.uint32).reshape(-1, n)
+            slot = _slots([codes[:, k] for k in range(n)])
+            # The answer itself is one of those counted: one count less.
+            seen, ends = np.maximum(0, self.seen[n - 1][slot] - 1), np.maximum(0, self.ends[n - 1][slot] - 1)
+            p[at] = (ends + 8 * p[at]) / (seen + 8)
         return p
 
     def goes_with(self, source: str, answer: str) -> float:
         """Share of sources with such an ending whose answers end like this one."""
         s = ending(source)
-        return (self.pairs[s, ending(answer)] + 0.5) / (self.heads[s] + 10) if self.heads[s] >= 20 else 1.0
+        return (self.pairs.get((s, ending(answer)), 0) + 0.5) / (self.heads[s] + 10) if self.heads[s] >= 20 else 1.0
 
 
 class Judge:
@@ -143,7 +175,11 @@ class Judge:
         return shared >= COPY_SHARE * len(s) and len(a) <= 1.3 * len(s) + 3 and shared >= 0.7 * len(a)
 
     def foreign(self, sources: list[str], answers: list[str]) -> list[bool]:
-        """True where most letters of an answer, shared words aside, are not Russian."""
+        """True where most letters of a response, shared words aside, are in a language other than the one asked for.
+
+        The posterior of each sentence starts from what the comparison with its
+        prompt makes likely: the language asked for, the prompt's own, or any.
+        """
         if self.bayes is None or TARGET not in self.bayes.labels:
             return [False] * len(answers)
         parts, owner, size = [], [], []
@@ -158,26 +194,37 @@ class Judge:
                     size.append(n)
         if not parts:
             return [False] * len(answers)
-        post = self.bayes.posteriors(parts)
-        ru = post[:, self.bayes.labels.index(TARGET)]
+        at = sorted(set(owner))
+        row = {k: r for r, k in enumerate(at)}
+        prompt = self.bayes.posteriors([sources[k] for k in at])
+        asked, same, any_ = EXPECTED
+        before = same * prompt + any_ / prompt.shape[1]
+        ru = self.bayes.labels.index(TARGET)
+        before[:, ru] += asked
+        s = self.bayes.scores(parts) + np.log(before[[row[k] for k in owner]])
+        e = np.exp(s - s.max(axis=1, keepdims=True))
+        post = e[:, ru] / e.sum(axis=1)
         weight = np.array(size, float)
-        other = np.bincount(owner, weight * (ru < 0.5), len(answers))
+        other = np.bincount(owner, weight * (post < 0.5), len(answers))
         total = np.bincount(owner, weight, len(answers))
         return (other > 0.5 * np.maximum(total, 1)).tolist()
 
-    def is_truncated(self, source: str, answer: str) -> bool:
+    def is_truncated(self, source: str, answer: str, end: float) -> bool:
+        """``end`` is the likelihood of the answer's last characters as an end."""
+        usual = self.ends.goes_with(source, answer)
+        if usual < LEAST_PAIR or usual < USUAL_PAIR and end < LEAST_END:
+            return True
+        # It ends well; whether the end is that of its prompt shows in what is missing.
         s, a = sum(map(len, _LETTERS.findall(source))), sum(map(len, _LETTERS.findall(answer)))
         if s >= 12 and a < LEAST_RATIO * s:
             return True
-        if len(_STOP.findall(answer)) < len(_STOP.findall(source)) and a < 1.1 * s:
-            return True
-        usual = self.ends.goes_with(source, answer)
-        return usual < LEAST_PAIR or usual < USUAL_PAIR and self.ends.likelihood(answer) < LEAST_END
+        return a < 1.1 * s and len(_STOP.findall(answer)) < len(_STOP.findall(source))
 
     def defects(self, sources: list[str], answers: list[str | None]) -> list[str | None]:
-        foreign = self.foreign(sources, [a or "" for a in answers])
+        given = [a or "" for a in answers]
+        foreign, ends = self.foreign(sources, given), self.ends.likelihoods(given)
         out: list[str | None] = []
-        for source, answer, other in zip(sources, answers, foreign):
+        for source, answer, other, end in zip(sources, answers, foreign, ends.tolist()):
             wordless = not _LETTERS.search(_CODE.sub(" ", source))
             if self.is_empty(source, answer):
                 out.append("empty")
@@ -189,7 +236,7 @@ class Judge:
                 out.append("copy")
             elif other:
                 out.append("language")
-            elif self.is_truncated(source, answer):
+            elif self.is_truncated(source, answer, end):
                 out.append("truncated")
             else:
                 out.append(None)
@@ -197,7 +244,7 @@ class Judge:
 
 
 def pairs(units: DataFrame, answers: DataFrame) -> DataFrame:
-    """``unit_id, inline_id, attempt, source, answer`` of each answer to a node with text, each once."""
+    """``unit_id, inline_id, attempt, source, answer`` of each answer to a node with text; repeated answers may repeat."""
     nodes = (
         units.select("unit_id", F.explode("text_nodes").alias("n"))
         .select("unit_id", F.col("n.inline_id").alias("inline_id"), F.col("n.source_text").alias("source"))
@@ -205,20 +252,45 @@ def pairs(units: DataFrame, answers: DataFrame) -> DataFrame:
         .groupBy("unit_id", "inline_id")
         .agg(F.max("source").alias("source"))
     )
-    given = answers.select("unit_id", "inline_id", "attempt", F.col("ru_text").alias("answer")).distinct()
-    return given.join(nodes, ["unit_id", "inline_id"])
+    return answers.select("unit_id", "inline_id", "attempt", F.col("ru_text").alias("answer")).join(nodes, ["unit_id", "inline_id"]).select("unit_id", "inline_id", "attempt", "source", "answer")
 
 
-def fit_judge(units: DataFrame, answers: DataFrame, documents: DataFrame) -> Judge:
-    """A judge fitted on a bounded sample of answers and of labelled documents."""
-    total = answers.count()
-    share = min(1.0, SAMPLE_ANSWERS / max(1, total))
-    order = F.shiftrightunsigned(F.xxhash64(F.lit("ends"), "unit_id", "inline_id", "attempt"), 1)
-    some = pairs(units, answers.where((order <= min(int(share * 2**63), 2**63 - 1)) & F.col("ru_text").isNotNull()))
-    rows = some.select(F.substring(F.col("source"), -40, 40).alias("s"), F.substring(F.col("answer"), -SAMPLE_CHARS, SAMPLE_CHARS).alias("a")).limit(2 * SAMPLE_ANSWERS).collect()
+def end_counts(joined: DataFrame) -> DataFrame:
+    """``n, slot, seen, ends`` over all answers of ``joined``: at most ``ORDER * SLOTS`` rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen, ends = np.zeros((ORDER, SLOTS), np.int64), np.zeros((ORDER, SLOTS), np.int64)
+        for batch in batches:
+            for part in pieces(batch, (0,)):
+                a, b = count_ends([t for t in part.column(0).to_pylist() if t])
+                seen += a
+                ends += b
+        n, slot = np.nonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(n, pa.int32()), pa.array(slot, pa.int32()), pa.array(seen[n, slot]), pa.array(ends[n, slot])], ["n", "slot", "seen", "ends"])
+
+    return joined.select("answer").mapInArrow(run, "n int, slot int, seen bigint, ends bigint").groupBy("n", "slot").agg(F.sum("seen").alias("seen"), F.sum("ends").alias("ends"))
+
+
+def _ending(text: Column) -> Column:
+    """:func:`ending` of a text, but any other sign as it is."""
+    last = F.regexp_extract(text, r"(\S)\s*$", 1)
+    return F.when(last.rlike(r"^\p{L}$"), "a").when(last.rlike(r"^\p{Nd}$"), "0").otherwise(last)
+
+
+def fit_judge(joined: DataFrame, documents: DataFrame) -> Judge:
+    """A judge with the ends of all answers in ``joined`` and languages of a bounded sample of labelled documents.
+
+    The driver receives the tables of ends (``ORDER * SLOTS`` counts) and the
+    kinds of endings, of which there are no more than pairs of characters.
+    """
+    seen, ends = np.zeros((ORDER, SLOTS), np.int64), np.zeros((ORDER, SLOTS), np.int64)
+    got = end_counts(joined).toArrow()
+    n, slot = got.column("n").to_numpy(), got.column("slot").to_numpy()
+    seen[n, slot], ends[n, slot] = got.column("seen").to_numpy(), got.column("ends").to_numpy()
+    kinds = joined.where(F.trim("answer") != "").groupBy(_ending(F.col("source")).alias("s"), _ending(F.col("answer")).alias("a")).agg(F.count(F.lit(1)).alias("n"))
     texts, labels = labelled_sample(documents)
     lines, owner, _ = clean_lines(texts, labels) if texts else ([], [], [])
-    return Judge(CharBayes.fit(lines, owner) if lines else None, Ends([r["s"] for r in rows], [r["a"] for r in rows]))
+    return Judge(CharBayes.fit(lines, owner) if lines else None, Ends(seen, ends, {(r["s"], r["a"]): r["n"] for r in kinds.collect()}))
 
 
 _JUDGES: dict[int, Judge] = {}
@@ -241,14 +313,15 @@ def found(units: DataFrame, answers: DataFrame, documents: DataFrame) -> DataFra
     without words may stand unchanged.  ``documents`` only serves to learn what
     the languages look like.  Empty tables give no rows.
     """
-    joined = pairs(units, answers)
-    judge = joined.sparkSession.sparkContext.broadcast(pickle.dumps(fit_judge(units, answers, documents)))
+    # The join is read three times, twice for the counts of the model: it is written once.
+    ensure_checkpoint_dir(answers.sparkSession)
+    joined = pairs(units, answers).checkpoint()
+    judge = joined.sparkSession.sparkContext.broadcast(pickle.dumps(fit_judge(joined, documents)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = _worker_judge(judge.value)
         for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
+            for part in pieces(batch, (3, 4)):
                 got = own.defects(part.column(3).to_pylist(), part.column(4).to_pylist())
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), pa.array(got, pa.string())], ["unit_id", "inline_id", "attempt", "defect"])
 

@@ -62,7 +62,7 @@ def test_segments_within_a_line(spark, chain):
     docs = spark.createDataFrame([(1, TEXT["en"] * 3 + "\n" + line), (2, None), (3, ""), (4, TEXT["ru"])], "doc_id bigint, text string")
     (got,) = language.segments(docs, chain).collect()
     assert (got["doc_id"], got["line_no"], got["lang"]) == (1, 2, "de") and abs(got["from_word"] - 15) <= 1 and abs(got["to_word"] - 24) <= 1
-    assert language.segments(docs.limit(0)).count() == 0
+    assert language.segments(docs.limit(0).selectExpr("*", "'en' AS lang")).count() == 0
 
 
 def test_forward_backward_is_exact():
@@ -102,7 +102,7 @@ def test_documents(spark, chain):
 @pytest.fixture(scope="module")
 def judge(spark, data, documents):
     u, a = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("translation_units", "translated_nodes"))
-    return pairs.fit_judge(u, a, documents)
+    return pairs.fit_judge(pairs.pairs(u, a), documents)
 
 
 EN = "Roll the storm die and add 6. The leader may spend 4 supplies before the lanterns go out."
@@ -121,6 +121,25 @@ def test_defects(judge, source, answer, want):
     assert judge.defects([source], [answer]) == [want]
 
 
+def test_ends_by_brute_force():
+    answers = ["Вожак идёт.", "Вожак ид", "Ход окончен. ", "ха", "", "Да."]
+    ends = pairs.Ends.of(["a."] * len(answers), answers)
+    texts = [a.rstrip() for a in answers]
+    for answer, got in zip(answers, ends.likelihoods(answers)):
+        t = answer.rstrip()
+        p = sum(map(bool, texts)) / sum(map(len, texts))
+        for n in range(1, min(4, len(t)) + 1):
+            gram = t[-n:]
+            seen = sum(x[i : i + n] == gram for x in texts for i in range(len(x) - n + 1)) - 1
+            p = (sum(x.endswith(gram) and len(x) >= n for x in texts) - 1 + 8 * p) / (seen + 8)
+        assert abs(p - got) < 1e-9
+
+
+def test_prompt_in_the_language_of_the_answer(judge):
+    """What a response is expected in depends on its prompt, what is asked for does not."""
+    assert judge.foreign([EN, TEXT["ru"], EN, TEXT["ru"]], [TEXT["fr"], TEXT["de"], RU, RU]) == [True, True, False, False]
+
+
 def test_answers(spark, documents):
     units = spark.createDataFrame([("u", [("i", EN), ("j", None), ("k", EN)])] * 2, "unit_id string, text_nodes array<struct<inline_id: string, source_text: string>>")
     answers = spark.createDataFrame([("u", "i", 1, None), ("u", "i", 1, None), ("u", "i", 2, RU), ("u", "j", 1, None), ("x", "i", 1, ""), ("u", "k", 1, EN), (None, None, None, None)], "unit_id string, inline_id string, attempt int, ru_text string").selectExpr("*", "'c' AS source")

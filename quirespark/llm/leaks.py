@@ -12,6 +12,7 @@ and the spans that reach twenty words are merged.  Map only: nothing is shuffled
 
 from __future__ import annotations
 
+import html
 import pickle
 import unicodedata
 from collections.abc import Iterator
@@ -36,18 +37,26 @@ SHARD_WORDS = 1_500_000
 #: Items that are broadcast together; more are searched for in blocks.
 BLOCK_ITEMS = 20_000
 MEMO = 400_000
+#: Occurrences with their items that are looked at together.
+OWNERS = 1_000_000
 
-_TAG = regex.compile(r"</?[A-Za-z][^<>]{0,200}>|&(?:nbsp|amp|lt|gt|quot|#\d{1,6});")
+_TAG = regex.compile(r"</?[A-Za-z][^<>]*>")
 _WORD = regex.compile(r"[\p{L}\p{N}]+")
 _MARK = regex.compile(r"\p{M}+")
 # Small Cyrillic letters whose capitals look like a Latin capital.
 _SMALL = str.maketrans("вкмнт", "bkmht")
 
 
+def bare(text: str) -> str:
+    """A text without tags, with character references resolved."""
+    if "<" in text:
+        text = _TAG.sub(" ", text)
+    return html.unescape(text) if "&" in text else text
+
+
 def words(text: str) -> list[str]:
     """Words of a text without case, marks, markup, invisible characters and look-alikes."""
-    if "<" in text or "&" in text:
-        text = _TAG.sub(" ", text)
+    text = bare(text)
     if not text.isascii():
         text = _MARK.sub("", unicodedata.normalize("NFD", fold(text)))
         text = "".join(PROTOTYPE.get(c, c) for c in text).lower().translate(_SMALL)
@@ -98,7 +107,7 @@ class Passages:
         chunks: list[str] = []
         sizes = []
         for text in texts:
-            own = (_TAG.sub(" ", text) if "<" in text or "&" in text else text).split()
+            own = bare(text).split()
             sizes.append(len(own))
             chunks += own
         new = set(chunks).difference(self.memo)
@@ -184,8 +193,29 @@ def search_shard(passages: Passages, ids: np.ndarray, sizes: np.ndarray) -> list
     word = begin[run] + place - starts[run]
     edges = np.concatenate([[0], np.cumsum(sizes)])
     doc = np.searchsorted(edges, word, side="right") - 1
-    # Each occurrence belongs to every item that has the phrase; those on one
-    # diagonal of a document and item are extended once for each stretch.
+    # Each occurrence belongs to every item that has the phrase.  Owners are only
+    # spread out for a few documents at a time, so that a phrase which many items
+    # share and many documents hold does not multiply in memory.
+    order = np.argsort(doc, kind="stable")
+    phrase, word, doc = phrase[order], word[order], doc[order]
+    own = passages.owner_heads[phrase + 1] - passages.owner_heads[phrase]
+    heads = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+    reach = np.cumsum(own)
+    out: list[tuple[int, int, int, int]] = []
+    at = 0
+    while at < len(doc):
+        done = int(reach[at - 1]) if at else 0
+        end = int(np.searchsorted(reach, done + OWNERS, side="right"))
+        nxt = int(np.searchsorted(heads, end, side="right")) - 1
+        end = int(heads[nxt]) if heads[nxt] > at else int(heads[nxt + 1]) if nxt + 1 < len(heads) else len(doc)
+        end = len(doc) if reach[-1] <= done + OWNERS else end
+        out += _owned(passages, ids, edges, phrase[at:end], word[at:end], doc[at:end])
+        at = end
+    return out
+
+
+def _owned(passages: Passages, ids: np.ndarray, edges: np.ndarray, phrase: np.ndarray, word: np.ndarray, doc: np.ndarray) -> list[tuple[int, int, int, int]]:
+    """The found parts of whole documents: occurrences on one diagonal of a document and item are extended once for each stretch."""
     own = passages.owner_heads[phrase + 1] - passages.owner_heads[phrase]
     pick = np.repeat(passages.owner_heads[phrase] - (np.cumsum(own) - own), own) + np.arange(int(own.sum()))
     item, off = passages.owners[pick, 0], passages.owners[pick, 1]
@@ -222,51 +252,50 @@ def spans(documents: DataFrame, items: DataFrame) -> DataFrame:
     item of fewer lines is a passage as a whole, and one of fewer than
     ``WORDS`` words is never found.  NULL and empty texts hold nothing; repeated
     rows of ``documents`` give repeated rows; repeated items count once.  Items are
-    broadcast in blocks of ``BLOCK_ITEMS``.  Empty tables give no rows.
+    broadcast in blocks of ``BLOCK_ITEMS``, each of which a shard is searched for
+    in turn: documents are read once.  Empty tables give no rows.
     """
     spark = documents.sparkSession
     texts = spread(documents.select("doc_id", "text").where(F.length("text") > 0))
-    rows = items.select("item_id", "text").where(F.col("text").isNotNull()).distinct()
+    rows = items.select("item_id", "text").where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).distinct()
     blocks = max(1, -(-rows.count() // BLOCK_ITEMS))
-
-    def block(number: int) -> DataFrame:
+    models = []
+    for number in range(blocks):
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == number).collect()
-        model = spark.sparkContext.broadcast(pickle.dumps(sorted((r["item_id"], r["text"]) for r in own if r["item_id"] is not None)))
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            passages = _worker_passages(model.value)
-            docs: list = []
-            parts: list[np.ndarray] = []
-            sizes: list[np.ndarray] = []
-            total = 0
-
-            def shard() -> Iterator[pa.RecordBatch]:
-                found = search_shard(passages, np.concatenate(parts), np.concatenate(sizes)) if parts else []
+        models.append(spark.sparkContext.broadcast(pickle.dumps(sorted((r["item_id"], r["text"]) for r in own))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        docs: list = []
+        parts: list = []
+        total = 0
+
+        def shard() -> Iterator[pa.RecordBatch]:
+            for model in models:
+                passages = _worker_passages(model.value)
+                # With one block the words are numbered as they come, else the texts are kept for every block.
+                got = parts if len(models) == 1 else [passages.ids(p) for p in parts]
+                found = search_shard(passages, np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])) if got else []
                 if found:
                     cols = list(zip(*found))
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([docs[k] for k in cols[0]], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64()), pa.array(cols[3], pa.int64())],
-                        ["doc_id", "item_id", "from_word", "to_word"],
-                    )
-
-            for batch in batches:
-                for part in pieces(batch, (1,)):
-                    ids, counts = passages.ids(part.column(1).to_pylist())
-                    docs += part.column(0).to_pylist()
-                    parts.append(ids.astype(np.int32))
-                    sizes.append(counts)
+                    yield pa.RecordBatch.from_arrays([pa.array([docs[k] for k in cols[0]], pa.int64()), *(pa.array(c, pa.int64()) for c in cols[1:])], ["doc_id", "item_id", "from_word", "to_word"])
+
+        for batch in batches:
+            for part in pieces(batch, (1,)):
+                own = part.column(1).to_pylist()
+                if len(models) == 1:
+                    ids, counts = _worker_passages(models[0].value).ids(own)
+                    parts.append((ids.astype(np.int32), counts))
                     total += len(ids)
-                    if total >= SHARD_WORDS:
-                        yield from shard()
-                        docs, parts, sizes, total = [], [], [], 0
-            yield from shard()
-
-        return texts.mapInArrow(run, "doc_id bigint, item_id bigint, from_word bigint, to_word bigint")
-
-    out = block(0)
-    for number in range(1, blocks):
-        out = out.unionByName(block(number))
-    return out
+                else:
+                    parts.append(own)
+                    total += sum(map(len, own)) // 6
+                docs += part.column(0).to_pylist()
+                if total >= SHARD_WORDS:
+                    yield from shard()
+                    docs, parts, total = [], [], 0
+        yield from shard()
+
+    return texts.mapInArrow(run, "doc_id bigint, item_id bigint, from_word bigint, to_word bigint")
 
 
 def found(documents: DataFrame, items: DataFrame) -> DataFrame:

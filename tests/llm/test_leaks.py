@@ -74,3 +74,9 @@ def test_items_in_blocks(spark, monkeypatch):
     assert want == [(1, 20), (1, 7), (None, 20)]
     monkeypatch.setattr(leaks, "BLOCK_ITEMS", 1)
     assert rows(leaks.found(docs, ev)) == want
+    monkeypatch.setattr(leaks, "OWNERS", 1)
+    assert rows(leaks.found(docs, ev)) == want
+
+
+def test_markup_of_any_length():
+    assert leaks.words('a <b class="' + "x" * 500 + '">c&shy;d</b> &eacute;t&eacute;&nbsp;z &#1072;') == ["a", "cd", "ete", "z", "a"]

@@ -76,3 +76,16 @@ def token_budget(documents: DataFrame, units: DataFrame, estimates: DataFrame, t
         .agg(F.max_by("estimated_input_tokens", F.struct("run_id", "estimated_input_tokens")).alias("estimated_input_tokens"))
     )
     return totals.join(latest, (F.col("kind") == "rulebook") & (F.col("doc_id") == F.col("book")), "left").drop("book")
+
+
+#: What of the result SQL can count.
+TEXTS_SQL = """
+WITH once AS (SELECT unit_id, doc_id, max(text_nodes) AS nodes FROM translation_units GROUP BY unit_id, doc_id),
+n AS (SELECT doc_id, coalesce(x.source_text, '') AS t FROM (SELECT doc_id, unnest(nodes) AS x FROM once)),
+latest AS (SELECT doc_id, max_by(estimated_input_tokens, {'r': run_id, 'e': estimated_input_tokens}) AS e FROM cost_estimates WHERE estimated_input_tokens IS NOT NULL GROUP BY doc_id),
+books AS (SELECT b.doc_id, count(t) AS texts, count(DISTINCT t) AS distinct_texts FROM (SELECT DISTINCT doc_id FROM once) b LEFT JOIN n ON n.doc_id IS NOT DISTINCT FROM b.doc_id GROUP BY b.doc_id)
+SELECT 'rulebook' AS kind, b.doc_id, NULL::VARCHAR AS source, NULL::VARCHAR AS lang, NULL::VARCHAR AS topic, texts, distinct_texts, e AS estimated_input_tokens
+FROM books b LEFT JOIN latest l ON l.doc_id = b.doc_id
+UNION ALL
+SELECT 'slice', NULL, source, lang, topic, count(*), count(DISTINCT coalesce(text, '')), NULL FROM documents GROUP BY source, lang, topic
+"""

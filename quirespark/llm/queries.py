@@ -14,6 +14,10 @@ def p1_requests(spark: SparkSession, d: str) -> DataFrame:
     return packing.pack(table(spark, d, "translation_units"), table(spark, d, "request_limits"))
 
 
+def p1_totals(spark: SparkSession, d: str) -> DataFrame:
+    return packing.totals(p1_requests(spark, d), table(spark, d, "request_limits"))
+
+
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.found(table(spark, d, "translation_units"), table(spark, d, "translated_nodes"), table(spark, d, "documents"))
 
@@ -22,6 +26,10 @@ def p3_tokens(spark: SparkSession, d: str) -> DataFrame:
     return budget.token_budget(table(spark, d, "documents"), table(spark, d, "translation_units"), table(spark, d, "cost_estimates"))
 
 
+def p3_texts(spark: SparkSession, d: str) -> DataFrame:
+    return p3_tokens(spark, d).select("kind", "doc_id", "source", "lang", "topic", "texts", "distinct_texts", "estimated_input_tokens")
+
+
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
     return alignment.found(table(spark, d, "inline_nodes"), table(spark, d, "navigation"))
 
@@ -68,4 +76,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p6_found": repeated_lines.FOUND_SQL}
+    return {"p1_totals": packing.TOTALS_SQL, "p3_texts": budget.TEXTS_SQL, "p6_found": repeated_lines.FOUND_SQL}

@@ -23,7 +23,7 @@ def brute(sizes, capacity):
 @settings(max_examples=200, deadline=None)
 @given(st.lists(st.integers(0, 30), max_size=80))
 def test_first_fit_decreasing(sizes):
-    assert packing.first_fit_decreasing(sizes, 30) == brute(sizes, 30)
+    assert packing.first_fit_decreasing(sizes, 30).tolist() == brute(sizes, 30)
 
 
 def test_requests(spark):
@@ -49,3 +49,22 @@ def test_requests(spark):
     assert len(keys) == len(set(keys))
     assert packing.pack(units.limit(0), limits).count() == 0
     assert packing.pack(units, limits.limit(0)).count() == 0
+
+
+def test_sql_checks(spark, data):
+    from collections import Counter
+    from pathlib import Path
+
+    import duckdb
+
+    from quirespark.llm import queries
+
+    con = duckdb.connect()
+    for p in Path(data).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {p.stem} AS SELECT * FROM '{p}'")
+    for name, sql in queries.oracle_sql().items():
+        df, rel = queries.queries()[name](spark, data), con.sql(sql)
+        cols = sorted(df.columns)
+        assert cols == sorted(rel.columns)
+        at = [rel.columns.index(c) for c in cols]
+        assert Counter(tuple(r[c] for c in cols) for r in df.collect()) == Counter(tuple(r[k] for k in at) for r in rel.fetchall()), name

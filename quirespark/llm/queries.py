@@ -47,6 +47,10 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pages.unionByName(repeated_lines.document_lines(table(spark, d, "documents")))
 
 
+def p6_stripped(spark: SparkSession, d: str) -> DataFrame:
+    return repeated_lines.strip_repeated(table(spark, d, "documents").select("doc_id", "source", "text")).select("doc_id", "text")
+
+
 def p7_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(table(spark, d, "documents"))
 
@@ -76,4 +80,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"p1_totals": packing.TOTALS_SQL, "p3_texts": budget.TEXTS_SQL, "p6_found": repeated_lines.FOUND_SQL}
+    return {"p1_totals": packing.TOTALS_SQL, "p3_texts": budget.TEXTS_SQL, "p6_found": repeated_lines.FOUND_SQL, "p6_stripped": repeated_lines.STRIPPED_SQL}

@@ -102,12 +102,18 @@ def repeated_lines(lines: DataFrame, keyed: DataFrame, totals: DataFrame, share:
     ``least``.  Rows without key, and groups that are NULL, must have been left
     out of ``lines``.  Empty tables give no rows.
     """
-    spark = lines.sparkSession
-    ensure_checkpoint_dir(spark)
+    confirmed, hits, small = _confirmed(lines, keyed, totals, share, least)
+    return _pair(hits, confirmed, ["grp", "key"], small).select("grp", "doc", "item")
+
+
+def _confirmed(lines: DataFrame, keyed: DataFrame, totals: DataFrame, share: float, least: int) -> tuple[DataFrame, DataFrame, bool]:
+    """The confirmed keys of each group, the rows that hold a candidate, and whether keys are few enough to be broadcast."""
+    ensure_checkpoint_dir(lines.sparkSession)
     merged = summaries(keyed, share).groupBy("grp", "key").agg(F.sum("n").alias("n"))
     candidates = (
         merged.where(F.col("key").isNotNull())
-        .join(totals, "grp")
+        # A group of fewer documents than a line must be in has no such line.
+        .join(totals.where(F.col("docs") >= least), "grp")
         .where(F.col("n") + share / 2 * F.col("docs") >= share * F.col("docs"))
         .select("grp", "key", "docs")
         .checkpoint()
@@ -117,8 +123,7 @@ def repeated_lines(lines: DataFrame, keyed: DataFrame, totals: DataFrame, share:
     once = hits.groupBy("grp", "key", "docs", "doc").agg(F.lit(1).alias("one"))
     exact = once.groupBy("grp", "key", "docs").agg(F.sum("one").alias("n"))
     confirmed = exact.where((F.col("n") >= least) & (F.col("n") >= share * F.col("docs") - 1e-9)).select("grp", "key")
-    confirmed = confirmed.checkpoint()
-    return _pair(hits, confirmed, ["grp", "key"], small).select("grp", "doc", "item")
+    return confirmed.checkpoint(), hits, small
 
 
 def page_lines(primitives: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
@@ -136,34 +141,45 @@ def page_lines(primitives: DataFrame, share: float = SHARE, least: int = LEAST)
     return found.select(F.lit("page_line").alias("record_kind"), F.col("grp").alias("doc_key"), F.col("item").alias("item_key")).distinct()
 
 
+def _of_documents(documents: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``lines``, ``keyed`` and ``totals`` of :func:`repeated_lines` for the sources of documents."""
+    d = spread(documents.where(F.col("source").isNotNull()).select("source", "doc_id", "text"))
+    keyed = d.select(F.col("source").alias("grp"), "doc_id", line_keys(F.col("text")).alias("all"))
+    lines = keyed.select("grp", F.col("doc_id").cast("string").alias("doc"), F.posexplode("all").alias("pos", "key")).where(has_letters(F.col("key")))
+    lines = lines.select("grp", "doc", F.concat_ws(":", "doc", F.col("pos") + 1).alias("item"), "key")
+    totals = d.groupBy(F.col("source").alias("grp")).agg(F.count(F.lit(1)).alias("docs"))
+    return lines, keyed.select("grp", F.array_remove(F.array_distinct("all"), F.xxhash64(F.lit(""))).alias("keys")), totals
+
+
+def line_keys(text: Column) -> Column:
+    """A key for each line of a text."""
+    return F.transform(F.split(letters(text), "\n", -1), lambda line: F.xxhash64(line))
+
+
 def document_lines(documents: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
     """``record_kind, doc_key, item_key`` (``doc_id:line number``) of each source's boilerplate.
 
     Documents with NULL or empty text count; NULL sources are left out.
     """
-    d = spread(documents.where(F.col("source").isNotNull()).select("source", "doc_id", "text"))
-    keyed = d.select(F.col("source").alias("grp"), "doc_id", F.transform(F.split(letters(F.col("text")), "\n", -1), lambda line: F.xxhash64(line)).alias("all"))
-    lines = keyed.select("grp", F.col("doc_id").cast("string").alias("doc"), F.posexplode("all").alias("pos", "key")).where(has_letters(F.col("key")))
-    lines = lines.select("grp", "doc", F.concat_ws(":", "doc", F.col("pos") + 1).alias("item"), "key")
-    totals = d.groupBy(F.col("source").alias("grp")).agg(F.count(F.lit(1)).alias("docs"))
-    found = repeated_lines(lines, keyed.select("grp", F.array_remove(F.array_distinct("all"), F.xxhash64(F.lit(""))).alias("keys")), totals, share, least)
+    found = repeated_lines(*_of_documents(documents), share, least)
     return found.select(F.lit("document_line").alias("record_kind"), F.col("grp").alias("doc_key"), F.col("item").alias("item_key"))
 
 
-def strip_lines(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """``documents`` with the lines in ``found`` (as of :func:`document_lines`) removed from ``text``.
+def strip_repeated(documents: DataFrame, share: float = SHARE, least: int = LEAST) -> DataFrame:
+    """``documents`` with the repeated lines of each source removed from ``text``.
 
-    Documents without such a line come back as they are.
+    Each source has a set of confirmed lines, of at most ``1 / share`` times the
+    lines of a document, which is joined to its documents: documents are not
+    shuffled where the sets are broadcast, which is decided by their number.
+    Documents of sources without such lines, NULL texts and sources stay as they are.
     """
-    gone = (
-        found.where(F.col("record_kind") == "document_line")
-        .select(F.split("item_key", ":").alias("p"))
-        .groupBy(F.col("p")[0].cast("bigint").alias("__id"))
-        .agg(F.collect_set(F.col("p")[1].cast("int") - 1).alias("__gone"))
-    )
-    kept = F.filter(F.transform(F.split("text", "\n", -1), lambda t, i: F.struct(t.alias("t"), i.alias("i"))), lambda x: ~F.array_contains("__gone", x["i"]))
-    text = F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(F.transform(kept, lambda x: x["t"]), "\n"))
-    return documents.join(gone, F.col("doc_id") == F.col("__id"), "left").withColumn("text", text).drop("__id", "__gone")
+    confirmed, _, small = _confirmed(*_of_documents(documents), share, least)
+    sets = confirmed.groupBy(F.col("grp").alias("__source")).agg(F.collect_set("key").alias("__gone"))
+    both = documents.join(F.broadcast(sets) if small else sets, F.col("source") == F.col("__source"), "left")
+    pairs = F.arrays_zip(F.split("text", "\n", -1).alias("line"), line_keys(F.col("text")).alias("key"))
+    kept = F.transform(F.filter(pairs, lambda x: ~F.array_contains(F.col("__gone"), x["key"])), lambda x: x["line"])
+    text = F.when(F.col("__gone").isNull() | F.col("text").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    return both.withColumn("text", text).drop("__source", "__gone")
 
 
 #: The same lines by exact counting, as SQL for the check of the small tables.
@@ -182,3 +198,15 @@ SELECT 'document_line', dl.source, dl.doc_id || ':' || dl.i
 FROM dl JOIN dk ON dk.source = dl.source AND dk.k = dl.k JOIN dt ON dt.source = dl.source
 WHERE dk.c >= 3 AND dk.c * 5 >= dt.n
 """
+
+#: Documents without those lines.
+STRIPPED_SQL = """
+WITH dl AS (SELECT doc_id, source, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i, unnest(string_split(text, chr(10))) AS line FROM documents WHERE text IS NOT NULL),
+k AS (SELECT *, regexp_replace(lower(line), '[^\\p{L}]+', '', 'g') AS k FROM dl),
+dt AS (SELECT source, count(*) AS n FROM documents WHERE source IS NOT NULL GROUP BY source),
+dk AS (SELECT k.source, k, count(DISTINCT doc_id) AS c FROM k WHERE k <> '' AND source IS NOT NULL GROUP BY k.source, k),
+gone AS (SELECT dk.source, k FROM dk JOIN dt ON dt.source = dk.source WHERE c >= 3 AND c * 5 >= n)
+SELECT doc_id, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (WHERE gone.k IS NULL), '') AS text
+FROM k LEFT JOIN gone ON gone.source = k.source AND gone.k = k.k GROUP BY doc_id
+UNION ALL SELECT doc_id, NULL FROM documents WHERE text IS NULL
+"""

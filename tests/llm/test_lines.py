@@ -24,7 +24,7 @@ def test_document_lines(spark):
     d = docs(spark)
     got = rows(r.document_lines(d))
     assert got == sorted(("document_line", "s", f"{k}:{n}") for k in range(4) for n in (1, 4))
-    clean = {x["doc_id"]: x["text"] for x in r.strip_lines(d, r.document_lines(d)).collect()}
+    clean = {x["doc_id"]: x["text"] for x in r.strip_repeated(d).collect()}
     assert clean[0] == "line ax\n\n" and clean[9] is None and clean[12] == "only" and len(clean) == 10
     assert r.document_lines(d.limit(0)).count() == 0
 

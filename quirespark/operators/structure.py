@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions import text as t
 from ..functions.ids import block_id
@@ -117,41 +115,72 @@ def merge_runs(spans: DataFrame) -> DataFrame:
 
 
 def join_lines(lines):
-    """Lines of a block as one text; what a line repeats of the end of the last one (more than two characters) is dropped."""
+    """Lines of a block as one text.
+
+    Each line is brought to its plain form first, blank ones are left out.  What a
+    line repeats of the end of the last kept line (more than two characters) is
+    dropped and its rest, after a blank, belongs to that line.
+    """
+    clean = F.filter(F.transform(lines, lambda x: t.squeeze(t.undecorate(t.plain_letters(x)))), lambda x: x != "")
+    kind = "struct<done: array<string>, last: string>"
 
     def glue(acc, x, tail):
-        sizes = F.filter(F.sequence(F.lit(0), F.least(F.length(tail), F.length(x))), lambda k: (k > 2) & (F.right(tail, k) == F.left(x, k)))
-        k = F.array_max(sizes)
-        return F.when(acc == "", x).when(k.isNotNull(), F.concat(acc, F.substring(x, k + 1, F.length(x)))).otherwise(F.concat_ws(" ", acc, x))
+        # The end of the last line is cut off once a line, not once a candidate length.
+        sizes = F.filter(F.sequence(F.lit(1), F.greatest(F.lit(1), F.least(F.length(tail), F.length(x)))), lambda k: F.right(tail, k) == F.left(x, k))
+
+        def put(k):
+            rest = F.ltrim(F.substring(x, k + 1, F.length(x)))
+            same = F.when(rest == "", acc["last"]).otherwise(F.concat_ws(" ", acc["last"], rest))
+            own = F.struct(F.concat(acc["done"], F.array(acc["last"])).alias("done"), x.alias("last")).cast(kind)
+            return F.when(k > 2, F.struct(acc["done"].alias("done"), same.alias("last")).cast(kind)).otherwise(own)
+
+        return t.let(F.coalesce(F.array_max(sizes), F.lit(0)), put)
 
     def step(acc, x):
-        # The end of the text so far is cut off once a line, not once a candidate length.
-        return F.transform(F.array(F.right(acc, F.length(x))), lambda tail: glue(acc, x, tail))[0]
+        first = F.struct(acc["done"].alias("done"), x.alias("last")).cast(kind)
+        return F.when(acc["last"].isNull(), first).otherwise(t.let(F.right(acc["last"], F.length(x)), lambda tail: glue(acc, x, tail)))
+
+    start = F.struct(F.array().alias("done"), F.lit(None).alias("last")).cast(kind)
+    whole = F.aggregate(clean, start, step, lambda acc: F.concat_ws(" ", acc["done"], acc["last"]))
+    return t.squeeze(t.undecorate(whole))
+
+
+#: Words of the longest phrase whose repeat is dropped.
+PHRASE_WORDS = 4
+
+
+def without_repeats(text):
+    """Immediate repeats of one to four words are dropped in one pass from the left, the longest at each place.
+
+    A text of fewer than two words stays as it is; in others white space becomes
+    single blanks.
+    """
+
+    def of(words):
+        def longest(k):
+            out = F.lit(0)
+            for n in range(1, PHRASE_WORDS + 1):
+                # The first words decide in nearly all places.
+                same = (F.get(words, k - 1) == F.get(words, k - 1 + n)) & (F.slice(words, k, n) == F.slice(words, k + n, n))
+                out = F.when(same, n).otherwise(out)
+            return F.struct(k.alias("k"), out.alias("n"))
+
+        found = F.filter(F.transform(F.sequence(F.lit(1), F.size(words)), longest), lambda x: x["n"] > 0)
+        kind = "struct<next: int, cuts: array<struct<k: int, n: int>>>"
 
-    return t.squeeze(F.aggregate(lines, F.lit("").cast("string"), step))
+        def take(s, x):
+            return F.when(x["k"] >= s["next"], F.struct((x["k"] + 2 * x["n"]).alias("next"), F.concat(s["cuts"], F.array(x)).alias("cuts")).cast(kind)).otherwise(s)
 
+        cuts = F.aggregate(found, F.struct(F.lit(1).alias("next"), F.array().alias("cuts")).cast(kind), take, lambda s: s["cuts"])
 
-@F.pandas_udf(T.StringType())
-def without_repeats(texts: pd.Series) -> pd.Series:
-    """Immediate repeats of one to four words are dropped, longer ones first; each pair is collapsed once."""
+        def kept(cuts):
+            begin = lambda i: F.when(i == 0, 1).otherwise(F.get(cuts, i - 1)["k"] + 2 * F.get(cuts, i - 1)["n"])
+            parts = F.transform(cuts, lambda c, i: F.slice(words, begin(i), c["k"] + c["n"] - begin(i)))
+            return F.concat(F.flatten(parts), F.slice(words, begin(F.size(cuts)), F.size(words)))
 
-    def one(text: str | None) -> str | None:
-        if text is None:
-            return None
-        words = text.split()
-        for n in (4, 3, 2, 1):
-            i, out = 0, []
-            while i < len(words):
-                if words[i : i + n] == words[i + n : i + 2 * n] and len(words[i : i + n]) == n:
-                    out += words[i : i + n]
-                    i += 2 * n
-                else:
-                    out.append(words[i])
-                    i += 1
-            words = out
-        return " ".join(words)
+        return F.when(F.size(words) < 2, text).otherwise(F.array_join(t.let(cuts, kept), " "))
 
-    return texts.map(one)
+    return t.let(F.filter(F.split(text, r"(?U)[\s\x1c-\x1f]+"), lambda w: w != ""), of)
 
 
 def callout_members(page_boxes: DataFrame, callouts: DataFrame) -> DataFrame:
@@ -235,11 +264,11 @@ def page_blocks(content: DataFrame, found: DataFrame, patches: DataFrame) -> Dat
     ``patches`` applied last.  A merged paragraph has the place of its last part.
     """
     texts = content.where(F.col("kind") == "text")
-    own = blocks(classify(texts.withColumn("text", join_lines(F.split("text", r"\r?\n", -1)))), anchored=True)
+    own = blocks(classify(texts.withColumn("text", join_lines(F.split(t.compose("text"), r"\r?\n", -1)))), anchored=True)
     merged = merge_paragraphs(own).withColumnRenamed("content", "__merged")
     left = own.join(merged, [*PAGE, "block_ord"], "left").where((F.col("kind") != "paragraph") | F.col("__merged").isNotNull())
     again = t.squeeze(t.undecorate(t.plain_letters(F.col("__merged"))))
-    left = left.withColumn("content", F.when(F.col("kind") == "heading", without_repeats("content")).when(F.col("kind") == "paragraph", again).otherwise(F.col("content"))).drop("__merged")
+    left = left.withColumn("content", F.when(F.col("kind") == "heading", without_repeats(F.col("content"))).when(F.col("kind") == "paragraph", again).otherwise(F.col("content"))).drop("__merged")
     boxes = left.select(*PAGE, "block_id", "primitive_id").join(texts.select(*PAGE, "primitive_id", "x0", "y0", "x1", "y1"), [*PAGE, "primitive_id"])
     members = callout_members(boxes, found.where(F.col("kind_hint") == "callout")).join(left.select(*PAGE, "block_id", "primitive_id"), [*PAGE, "primitive_id"])
     wrapped = wrap_callouts(left, members.select(*PAGE, "block_id", "region_id"))

@@ -124,12 +124,12 @@ def merge_translations(inlines: DataFrame, units: DataFrame, results: DataFrame)
     """Inline rows with the translation of the last attempt for their node: adds ``translated``.
 
     ``inlines(unit key doc_id, page_number, inline_id, ...)``; units link a document
-    to its results, of repeated results the last attempt (then time) wins; nodes
-    without result keep NULL.
+    to its results, of repeated results the last attempt (then time) wins, of units
+    that hold the same node the later one (by its name); nodes without result keep NULL.
     """
     own = units.select("doc_id", "unit_id").distinct()
     last = results.groupBy("unit_id", "inline_id").agg(F.max_by("ru_text", F.struct("attempt", "finished_at", "ru_text")).alias("translated"))
-    known = last.join(own, "unit_id").groupBy("doc_id", "inline_id").agg(F.max("translated").alias("translated"))
+    known = last.join(own, "unit_id").groupBy("doc_id", "inline_id").agg(F.max_by("translated", "unit_id").alias("translated"))
     return inlines.join(known, ["doc_id", "inline_id"], "left")
 
 

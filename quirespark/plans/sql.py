@@ -32,6 +32,11 @@ def label(c: str) -> str:
     return f"(regexp_matches({t}, '^\\p{{L}}') AND len({words}) <= 6 AND ((regexp_matches({t}, '\\p{{L}}') AND upper({t}) = {t}) OR ({capital} AND (len({words}) = 1 OR len({alpha}) >= 2))))"
 
 
+def goes_on(c: str) -> str:
+    t = squeeze(f"coalesce({c}, '')")
+    return f"({t} = '' OR (NOT {label(c)} AND (length({t}) < 10 OR right({t}, 1) = '-' OR regexp_matches({t}, '^\\p{{Ll}}') OR NOT contains('.!?:;)\"''', right({t}, 1)))))"
+
+
 #: Text primitives, repeated rows once.
 PRIMS = """p AS (SELECT DISTINCT doc_id, page_number, primitive_id, text, line_count, font_name, font_size, is_bold, is_italic, bbox_norm.x0 AS x0, bbox_norm.y0 AS y0, bbox_norm.x1 AS x1, bbox_norm.y1 AS y1,
  CAST(string_split(primitive_id, ':')[-1] AS INT) AS prim_ord FROM text_primitives)"""

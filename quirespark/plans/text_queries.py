@@ -19,19 +19,20 @@ def prims(spark: SparkSession, d: str) -> DataFrame:
 
 def cost_estimate_by_source(spark: SparkSession, d: str) -> DataFrame:
     """Dry-run cost of each source: lines without noise, packed twenty to a unit within a document."""
-    lines = spread(table(spark, d, "documents").select("source", "doc_id", "text")).select("source", "doc_id", F.posexplode(F.split("text", "\n", -1)).alias("pos", "line"))
-    kept = lines.withColumn("line", t.squeeze(F.col("line"))).where(~t.is_noise(F.col("line")))
-    n = F.row_number().over(_by_doc())
-    units = kept.withColumn("unit", F.floor((n - 1) / 20)).groupBy("source", "doc_id", "unit").agg(F.sum(F.length("line")).alias("chars"), F.count(F.lit(1)).alias("nodes"))
-    inp, out = F.floor(F.col("chars") / 4) + 580, F.floor(F.col("chars") / 4 * 1.2) + 80
-    return units.groupBy("source").agg(F.count(F.lit(1)).alias("units"), F.sum("nodes").alias("nodes"), F.sum(inp).alias("input_tokens"), F.sum(out).alias("output_tokens"))
+    docs = spread(table(spark, d, "documents").select("source", "text"))
+    # A document is one row: its lines are chosen, cut into units and added up inside of it, and only sums are exchanged.
+    kept = F.filter(F.transform(F.split("text", "\n", -1), lambda x: t.squeeze(x)), lambda x: ~t.is_noise(x))
+    sizes = docs.select("source", F.explode(F.array(F.transform(kept, lambda x: F.length(x)))).alias("sizes")).where(F.size("sizes") > 0)
+    unit = lambda u: F.aggregate(F.slice("sizes", u * UNIT_LINES + 1, UNIT_LINES), F.lit(0), lambda a, x: a + x)
+    chars = F.transform(F.sequence(F.lit(0), F.floor((F.size("sizes") - 1) / UNIT_LINES).cast("int")), unit)
+    units = sizes.select("source", F.size("sizes").alias("nodes"), F.explode(F.array(chars)).alias("chars"))
+    total = lambda f: F.aggregate(F.transform("chars", f), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    inp, out = total(lambda c: F.floor(c / 4) + 580), total(lambda c: F.floor(c / 4 * 1.2) + 80)
+    return units.groupBy("source").agg(F.sum(F.size("chars")).alias("units"), F.sum("nodes").alias("nodes"), F.sum(inp).alias("input_tokens"), F.sum(out).alias("output_tokens"))
 
 
-def _by_doc():
-    from pyspark.sql import Window
-
-    return Window.partitionBy("doc_id").orderBy("pos")
-
+#: Lines of a document that make a unit.
+UNIT_LINES = 20
 
 COST_SQL = f"""WITH l AS (SELECT source, doc_id, unnest(range(0, len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS line FROM documents),
 k AS (SELECT source, doc_id, pos, {sql.squeeze('line')} AS line FROM l),
@@ -109,6 +110,15 @@ def merged_paragraphs(spark: SparkSession, d: str) -> DataFrame:
     return structure.merge_paragraphs(blocks(spark, d))
 
 
+#: A paragraph goes on in the next one of its run while all that was joined so far is unfinished.
+MERGED_SQL = BLOCKS_SQL.replace("WITH ", "WITH RECURSIVE ", 1).rsplit("SELECT doc_id, page_number, kind", 1)[0] + f""", r AS (SELECT *, sum(CASE WHEN kind <> 'paragraph' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page_number ORDER BY block_ord ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS run FROM b),
+q AS (SELECT doc_id, page_number, run, block_ord, content, row_number() OVER (PARTITION BY doc_id, page_number, run ORDER BY block_ord) AS n FROM r WHERE kind = 'paragraph'),
+f AS (SELECT doc_id, page_number, run, n, block_ord, content FROM q WHERE n = 1
+ UNION ALL SELECT q.doc_id, q.page_number, q.run, q.n, CASE WHEN {sql.goes_on('f.content')} THEN f.block_ord ELSE q.block_ord END, CASE WHEN {sql.goes_on('f.content')} THEN f.content || ' ' || q.content ELSE q.content END
+ FROM f JOIN q ON q.doc_id = f.doc_id AND q.page_number = f.page_number AND q.run = f.run AND q.n = f.n + 1)
+SELECT doc_id, page_number, block_ord, arg_max(content, n) AS content FROM f GROUP BY doc_id, page_number, run, block_ord"""
+
+
 def merged_runs(spark: SparkSession, d: str) -> DataFrame:
     """Texts of a page as spans of one block: neighbours of one style are joined."""
     spans = prims(spark, d).select(ids.page_id(F.col("doc_id"), F.col("page_number")).alias("block_id"), F.col("prim_ord").alias("span_ord"), F.coalesce("text", F.lit("")).alias("text"), "font_name", "font_size", "is_bold", "is_italic")
@@ -123,12 +133,33 @@ SELECT block_id, CAST(run AS BIGINT) AS run_ord, string_agg(text, '' ORDER BY pr
 
 def joined_lines(spark: SparkSession, d: str) -> DataFrame:
     """Lines of each document as one text without what a line repeats of the end of the last."""
-    lines = spread(table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", "text")).select("doc_id", F.split("text", r"\r?\n", -1).alias("lines"))
+    lines = spread(table(spark, d, "documents").where(F.length("text") > 0).select("doc_id", "text")).select("doc_id", F.split(t.compose("text"), r"\r?\n", -1).alias("lines"))
     return lines.select("doc_id", structure.join_lines(F.col("lines")).alias("text"))
 
 
+_LAST = "chr(1114109)"
+_LINE = sql.squeeze(sql.undecorate(sql.plain("l")))
+JOINED_SQL = f"""WITH l AS (SELECT doc_id, unnest(string_split_regex(nfc_normalize(text), '\r?\n')) AS l, unnest(range(0, len(string_split_regex(nfc_normalize(text), '\r?\n')))) AS i FROM documents WHERE length(text) > 0),
+c AS (SELECT doc_id, i, {_LINE} AS x FROM l), g AS (SELECT doc_id, list(x ORDER BY i) FILTER (x <> '') AS xs FROM c GROUP BY doc_id),
+r AS (SELECT doc_id, CASE WHEN len(xs) > 0 THEN list_reduce(xs, lambda acc, x: list_transform([string_split(acc, {_LAST})], lambda a:
+ list_transform([coalesce(list_max(list_filter(range(1, least(length(a[-1]), length(x)) + 1), lambda k: right(a[-1], CAST(k AS INT)) = left(x, CAST(k AS INT)))), 0)], lambda m:
+ CASE WHEN m <= 2 THEN acc || {_LAST} || x WHEN ltrim(substr(x, CAST(m AS INT) + 1)) = '' THEN acc ELSE acc || ' ' || ltrim(substr(x, CAST(m AS INT) + 1)) END)[1])[1]) ELSE '' END AS v FROM g),
+j AS (SELECT doc_id, replace(v, {_LAST}, ' ') AS v FROM r) SELECT doc_id, {sql.squeeze(sql.undecorate('v'))} AS text FROM j"""
+
+
 def repeated_phrases(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents").select("doc_id", structure.without_repeats("text").alias("text"))
+    return table(spark, d, "documents").select("doc_id", structure.without_repeats(F.col("text")).alias("text"))
+
+
+PHRASES_SQL = f"""WITH RECURSIVE w AS (SELECT doc_id, text, list_filter(string_split_regex(text, '{sql.SPACE.replace(']+', chr(92) + 'x{001C}-' + chr(92) + 'x{001F}]+')}'), lambda x: x <> '') AS w FROM documents),
+e AS (SELECT doc_id, w, unnest(range(1, len(w) + 1)) AS k FROM w WHERE len(w) > 1),
+m AS (SELECT doc_id, k, CASE WHEN k + 7 <= len(w) AND w[k] = w[k + 4] AND w[k:k + 3] = w[k + 4:k + 7] THEN 4 WHEN k + 5 <= len(w) AND w[k] = w[k + 3] AND w[k:k + 2] = w[k + 3:k + 5] THEN 3
+ WHEN k + 3 <= len(w) AND w[k] = w[k + 2] AND w[k:k + 1] = w[k + 2:k + 3] THEN 2 WHEN k + 1 <= len(w) AND w[k] = w[k + 1] THEN 1 ELSE 0 END AS n FROM e),
+c AS (SELECT doc_id, k, n, k + 2 * n AS after FROM m WHERE n > 0), x AS (SELECT a.doc_id, a.k, a.n, b.k AS following FROM c a ASOF LEFT JOIN c b ON a.doc_id = b.doc_id AND a.after <= b.k),
+t AS (SELECT x.* FROM x JOIN (SELECT doc_id, min(k) AS k FROM c GROUP BY doc_id) f USING (doc_id, k) UNION ALL SELECT x.* FROM t JOIN x ON x.doc_id = t.doc_id AND x.k = t.following),
+gone AS (SELECT doc_id, unnest(range(k + n, k + 2 * n)) AS k FROM t),
+s AS (SELECT e.doc_id, string_agg(e.w[e.k], ' ' ORDER BY e.k) AS text FROM e LEFT JOIN gone ON gone.doc_id = e.doc_id AND gone.k = e.k WHERE gone.k IS NULL GROUP BY e.doc_id)
+SELECT w.doc_id, CASE WHEN len(w.w) > 1 THEN s.text ELSE w.text END AS text FROM w LEFT JOIN s ON s.doc_id = w.doc_id"""
 
 
 def readable_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -153,6 +184,9 @@ def slugs(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "navigation").select("doc_id", "anchor_id", t.slug("label_en").alias("slug")).distinct()
 
 
+SLUGS_SQL = """WITH n AS (SELECT DISTINCT doc_id, anchor_id, label_en FROM navigation), b AS (SELECT *, regexp_replace(lower(regexp_replace(strip_accents(label_en), '[^\\x{00}-\\x{7F}]', '', 'g')), '[^\\w\\s-]', '', 'g') AS b FROM n)
+SELECT DISTINCT doc_id, anchor_id, CASE WHEN label_en IS NOT NULL THEN coalesce(nullif(left(trim(regexp_replace(b, '[-\\s]+', '-', 'g'), '-'), 60), ''), 'anchor') END AS slug FROM b"""
+
 QUERIES = {
     "cost_estimate_by_source": (cost_estimate_by_source, COST_SQL),
     "text_predicates": (text_predicates, PREDICATES_SQL),
@@ -161,10 +195,10 @@ QUERIES = {
     "block_kinds": (block_kinds, KINDS_SQL),
     "list_runs": (list_runs, RUNS_SQL),
     "blocks": (blocks, BLOCKS_SQL),
-    "merged_paragraphs": (merged_paragraphs, None),
+    "merged_paragraphs": (merged_paragraphs, MERGED_SQL),
     "merged_runs": (merged_runs, MERGED_RUNS_SQL),
-    "joined_lines": (joined_lines, None),
-    "repeated_phrases": (repeated_phrases, None),
+    "joined_lines": (joined_lines, JOINED_SQL),
+    "repeated_phrases": (repeated_phrases, PHRASES_SQL),
     "readable_ids": (readable_ids, IDS_SQL),
-    "slugs": (slugs, None),
+    "slugs": (slugs, SLUGS_SQL),
 }

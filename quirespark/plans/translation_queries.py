@@ -127,7 +127,7 @@ def merged_translations(spark: SparkSession, d: str) -> DataFrame:
 MERGE_SQL = f"""WITH {_RUNS}, l AS (SELECT unit_id, inline_id, arg_max(ru_text, {{'a': attempt, 'b': finished_at, 'c': ru_text}}) AS translated FROM (SELECT * FROM translated_nodes WHERE ru_text IS NOT NULL) GROUP BY ALL),
 m AS (SELECT unit_id, inline_id, max({{'a': attempt, 'b': finished_at}}) AS last FROM translated_nodes GROUP BY ALL),
 f AS (SELECT t.unit_id, t.inline_id, max(t.ru_text) AS translated FROM translated_nodes t JOIN m ON m.unit_id = t.unit_id AND m.inline_id = t.inline_id AND m.last = {{'a': t.attempt, 'b': t.finished_at}} GROUP BY ALL),
-k AS (SELECT u.doc_id, f.inline_id, max(f.translated) AS translated FROM f JOIN (SELECT DISTINCT doc_id, unit_id FROM translation_units) u USING (unit_id) GROUP BY ALL)
+k AS (SELECT u.doc_id, f.inline_id, arg_max(f.translated, u.unit_id) AS translated FROM f JOIN (SELECT DISTINCT doc_id, unit_id FROM translation_units) u USING (unit_id) GROUP BY ALL)
 SELECT rn.doc_id, rn.inline_id, rn.text, k.translated FROM rn LEFT JOIN k USING (doc_id, inline_id)"""
 
 

@@ -34,10 +34,13 @@ def test_paragraphs_fold(spark):
 
 
 def test_lines_and_phrases(spark):
-    df = spark.createDataFrame([(["the storm die", "storm die rolls", "ab", "b c"],)], "l array<string>")
-    assert df.select(structure.join_lines(F.col("l"))).first()[0] == "the storm die rolls ab b c"
-    df = spark.createDataFrame([("roll the die roll the die now now",), (None,)], "t string")
-    assert [r[0] for r in df.select(structure.without_repeats("t")).collect()] == ["roll the die now", None]
+    lines = [["the storm die", "storm die rolls", "ab", "b c"], ["storm die", " ", "die", "now {x} *", None, "roll the die"], [], ["a the", "the  the b"]]
+    df = spark.createDataFrame([(x,) for x in lines], "l array<string>")
+    assert [r[0] for r in df.select(structure.join_lines(F.col("l"))).collect()] == ["the storm die rolls ab b c", "storm die now x roll the die", "", "a the the b"]
+    texts = ["roll the die roll the die now now", "a a b a a b", "go go now go go now x", "one", " one ", "", None, "Do not Do not open open", "a b c d a b c d a b c d e"]
+    want = ["roll the die now", "a a b", "go go now x", "one", " one ", "", None, "Do not open", "a b c d a b c d e"]
+    df = spark.createDataFrame([(k, x) for k, x in enumerate(texts)], "k int, t string")
+    assert [r[0] for r in df.orderBy("k").select(structure.without_repeats(F.col("t"))).collect()] == want
 
 
 def test_runs_merge(spark):

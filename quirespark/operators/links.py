@@ -33,7 +33,7 @@ def greedy_links(scored: DataFrame) -> DataFrame:
 
     def run(page: pd.DataFrame) -> pd.DataFrame:
         figures, captions, keep = set(), set(), []
-        for row in page.sort_values(["score", "figure_ord", "caption_ord"], ascending=[False, True, True], kind="stable").itertuples():
+        for row in page.sort_values(["score", "figure_ord", "caption_ord", "figure_id", "caption_id"], ascending=[False, True, True, True, True]).itertuples():
             if row.figure_id not in figures and row.caption_id not in captions:
                 figures.add(row.figure_id)
                 captions.add(row.caption_id)

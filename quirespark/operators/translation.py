@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -233,42 +235,37 @@ def run_summary(results: DataFrame) -> DataFrame:
     return out.withColumn("status", F.when(F.col("failed") == 0, "completed").when(F.col("completed") > 0, "partial").otherwise("failed"))
 
 
-@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("term", T.StringType())])))
-def _links(texts: pd.Series, pack: pd.Series) -> pd.Series:
-    import re
-
-    cache: dict = {}
-
-    def one(text, forms):
-        if not text or forms is None or not len(forms):
-            return []
-        key = tuple((f["form"], f["term_id"]) for f in forms)
-        if key not in cache:
-            cache.clear()
-            first: dict = {}
-            for form, term in key:
-                first.setdefault(form.lower(), term)
-            pattern = "|".join(re.escape(f) for f in sorted({f for f, _ in key}, key=lambda f: (-len(f), f)))
-            cache[key] = (re.compile(pattern, re.I), first)
-        rx, first = cache[key]
-        return [{"start": m.start(), "end": m.end(), "term": first.get(m.group().lower())} for m in rx.finditer(text)]
-
-    return pd.Series([one(a, b) for a, b in zip(texts, pack)])
-
-
 def glossary_links(runs: DataFrame, terms: DataFrame, first_only: bool = True) -> DataFrame:
     """Where terms stand in untranslated runs: longest form first, matches do not overlap.
 
     ``runs(doc_id, page_number, block_id, inline_id, node_ord, text, ru_text)``.
     With ``first_only`` the first occurrence of a term on a page counts.  The pack
-    is of fixed size and travels as one array.
+    is of fixed size by contract: it is broadcast once and compiled once a task.
     """
     forms = F.concat(F.array("en_canonical", "ru_preferred"), F.coalesce("en_aliases", F.array().cast("array<string>")), F.coalesce("ru_variants", F.array().cast("array<string>")))
-    flat = terms.select("term_id", F.explode(forms).alias("form")).where(F.length("form") > 0)
-    pack = flat.agg(F.to_json(F.array_sort(F.collect_set(F.struct("form", "term_id")))).alias("p")).scalar()
-    todo = runs.where((F.length("text") > 0) & (F.coalesce("ru_text", F.lit("")) == ""))
-    found = todo.withColumn("__pack", F.from_json(pack, "array<struct<form: string, term_id: string>>")).withColumn("m", F.explode(_links("text", "__pack")))
-    out = found.select("doc_id", "page_number", "block_id", "node_ord", "inline_id", F.col("m.term").alias("term_id"), F.col("m.start").alias("start"), F.col("m.end").alias("end"))
+    flat = terms.select("term_id", F.explode(forms).alias("form")).where(F.length("form") > 0).distinct()
+    pack = runs.sparkSession.sparkContext.broadcast(sorted((r["form"], r["term_id"]) for r in flat.collect()))
+    names = ["doc_id", "page_number", "block_id", "node_ord", "inline_id"]
+    todo = runs.where((F.length("text") > 0) & (F.coalesce("ru_text", F.lit("")) == "")).select(*names, "text")
+    types = dict(todo.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first: dict[str, str] = {}
+        for form, term in pack.value:
+            first.setdefault(form.lower(), term)
+        pattern = "|".join(re.escape(f) for f in sorted({f for f, _ in pack.value}, key=lambda f: (-len(f), f)))
+        rx = re.compile(pattern, re.I)
+        for batch in batches:
+            rows, hits = [], []
+            for k, text in enumerate(batch.column(5).to_pylist() if pattern else ()):
+                for m in rx.finditer(text):
+                    rows.append(k)
+                    hits.append((first.get(m.group().lower()), m.start(), m.end()))
+            own = batch.take(pa.array(rows, pa.int64()))
+            terms_, starts, ends = zip(*hits) if hits else ((), (), ())
+            yield pa.RecordBatch.from_arrays([*own.columns[:5], pa.array(terms_, pa.string()), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())], [*names, "term_id", "start", "end"])
+
+    out = todo.mapInArrow(run, ", ".join(f"{c} {types[c]}" for c in names) + ", term_id string, start int, end int")
     if first_only:
         w = Window.partitionBy("doc_id", "page_number", "term_id").orderBy("block_id", "node_ord", "inline_id", "start")
         out = out.withColumn("__n", F.row_number().over(w)).where(F.col("__n") == 1).drop("__n")

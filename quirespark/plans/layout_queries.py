@@ -9,7 +9,7 @@ from ..functions import geometry as g
 from ..operators import assets, furniture, layout, links, overlays, primitives, structure
 from ..sources.tables import table
 from . import sql
-from .text_queries import prims
+from .text_queries import _CLASS, prims
 
 #: The boxes of the tables vary in width and font, so that clusters need a coarse grid and a low rate.
 RATE, STEP = 0.1, 0.5
@@ -200,7 +200,26 @@ def caption_scores(spark: SparkSession, d: str) -> DataFrame:
 
 
 def caption_links(spark: SparkSession, d: str) -> DataFrame:
-    return links.greedy_links(links.score_pairs(*_figures_captions(spark, d)))
+    return links.greedy_links(links.score_pairs(*_figures_captions(spark, d))).withColumn("score", F.round("score", 6))
+
+
+# Pairs of a page, best first, as text; a pair is kept where neither of its sides has been.
+_BEST = f"""{_FC}, one AS (SELECT doc_id, page_number, chr(1) || figure_id || chr(2) || caption_id || chr(3) AS pair, figure_id, caption_id, score, fo, co FROM sc WHERE score >= 0.10),
+pg AS (SELECT doc_id, page_number, list(pair ORDER BY score DESC, fo, co, figure_id, caption_id) AS pairs FROM one GROUP BY ALL),
+kp AS (SELECT doc_id, page_number, list_reduce(pairs, lambda acc, x: CASE WHEN contains(acc, split_part(x, chr(2), 1) || chr(2)) OR contains(acc, chr(2) || split_part(x, chr(2), 2)) THEN acc ELSE acc || x END) AS kept FROM pg),
+bl AS (SELECT one.doc_id, one.page_number, figure_id, caption_id, round(CAST(score AS DOUBLE), 6) AS score FROM one JOIN kp ON kp.doc_id = one.doc_id AND kp.page_number = one.page_number AND contains(kept, pair))"""
+LINKS_SQL = f"WITH {_BEST} SELECT * FROM bl"
+
+
+def linked_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Texts of the pages with what the links make of them."""
+    b = prims(spark, d).select("doc_id", "page_number", F.concat_ws("/", "doc_id", "primitive_id").alias("block_id"))
+    own = caption_links(spark, d).select(F.concat_ws("/", "doc_id", "figure_id").alias("figure_id"), F.concat_ws("/", "doc_id", "caption_id").alias("caption_id"))
+    return links.apply_links(b, own)
+
+
+LINKED_SQL = f"""WITH {_BEST} SELECT p.doc_id, p.page_number, p.doc_id || '/' || p.primitive_id AS block_id, p.doc_id || '/' || a.caption_id AS caption_block_id, p.doc_id || '/' || b.figure_id AS parent_block_id
+FROM p LEFT JOIN bl a ON a.doc_id = p.doc_id AND a.figure_id = p.primitive_id LEFT JOIN bl b ON b.doc_id = p.doc_id AND b.caption_id = p.primitive_id"""
 
 
 def sequential_links(spark: SparkSession, d: str) -> DataFrame:
@@ -242,6 +261,15 @@ def wrapped_callouts(spark: SparkSession, d: str) -> DataFrame:
     return structure.wrap_callouts(b, callout_members(spark, d).withColumnRenamed("primitive_id", "block_id"))
 
 
+# The fragments share the table of primitives, which is named once.
+WRAPPED_SQL = f"""WITH {_CLASS}, {sql.REGIONS.replace(sql.PRIMS + ', ', '', 1)}, mb AS (SELECT p.doc_id, p.page_number, p.primitive_id, min(r.region_id) AS region_id FROM p JOIN r ON r.doc_id = p.doc_id AND r.page_number = p.page_number AND r.kind_hint = 'band' AND r.y1 - r.y0 > 0.2
+WHERE (p.x0 + p.x1) / 2 BETWEEN r.x0 AND r.x1 AND (p.y0 + p.y1) / 2 BETWEEN r.y0 AND r.y1 GROUP BY ALL),
+bk AS (SELECT doc_id, page_number, prim_ord AS block_ord, primitive_id AS block_id, 'paragraph' AS kind, clean AS content FROM cls WHERE kind_hint <> 'skip'),
+al AS (SELECT bk.* FROM bk LEFT JOIN mb ON mb.doc_id = bk.doc_id AND mb.page_number = bk.page_number AND mb.primitive_id = bk.block_id WHERE mb.region_id IS NULL
+ UNION ALL SELECT bk.doc_id, bk.page_number, min(block_ord), region_id, 'callout', string_agg(content, chr(10) ORDER BY block_ord, content) FROM bk JOIN mb ON mb.doc_id = bk.doc_id AND mb.page_number = bk.page_number AND mb.primitive_id = bk.block_id GROUP BY bk.doc_id, bk.page_number, region_id)
+SELECT doc_id, page_number, CAST(row_number() OVER (PARTITION BY doc_id, page_number ORDER BY block_ord, block_id) - 1 AS INT) AS block_ord, block_id, kind, CAST(NULL AS INT) AS level, content FROM al"""
+
+
 def geometry(spark: SparkSession, d: str) -> DataFrame:
     box = g.box()
     return prims(spark, d).select("doc_id", "primitive_id", F.round(g.area(*box), 6).alias("area"), F.round(g.normalize(F.col("x0") * 612 - 10, F.lit(600.0)), 6).alias("clamped"), g.grid(F.col("x0"), 0.02).alias("grid"), g.contains((F.lit(0.05), F.lit(0.05), F.lit(0.95), F.lit(0.95)), box).alias("inside"), F.round(g.overlap_area(box, (F.lit(0.0), F.lit(0.0), F.lit(0.5), F.lit(0.5))), 6).alias("overlap"))
@@ -269,11 +297,12 @@ QUERIES = {
     "symbol_summary": (symbol_summary, SUMMARY_SQL),
     "symbol_hashes": (symbol_hashes, HASHES_SQL),
     "caption_scores": (caption_scores, SCORES_SQL),
-    "caption_links": (caption_links, None),
+    "caption_links": (caption_links, LINKS_SQL),
+    "linked_blocks": (linked_blocks, LINKED_SQL),
     "sequential_links": (sequential_links, SEQUENTIAL_SQL),
     "callout_members": (callout_members, MEMBERS_SQL),
     "canonical_flags": (canonical_flags, FLAGS_SQL),
     "region_overlays": (region_overlays, OVERLAY_SQL),
-    "wrapped_callouts": (wrapped_callouts, None),
+    "wrapped_callouts": (wrapped_callouts, WRAPPED_SQL),
     "geometry": (geometry, GEOMETRY_SQL),
 }

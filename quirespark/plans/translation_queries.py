@@ -170,22 +170,41 @@ SELECT unit_id, inline_id, locked, replace(replace(replace(locked, '«PH_00»',
 
 
 def parsed_responses(spark: SparkSession, d: str) -> DataFrame:
-    """Responses of units as JSON, every third of them cut off, parsed back."""
+    """Responses of units as JSON, every third of them cut off at its end, parsed back with all their texts."""
     r = _results(spark, d).withColumn("t", F.transform("translations", lambda x, i: F.struct(F.concat(F.lit("i"), i.cast("string")).alias("inline_id"), x.alias("ru_text"))))
     raw = F.to_json(F.struct("unit_id", F.col("t").alias("translations")))
     cut = F.when(F.pmod(F.xxhash64("unit_id"), F.lit(3)) == 0, F.substring(raw, 1, F.length(raw) - 2)).otherwise(raw)
-    return r.select("unit_id", F.coalesce(F.size(translation.parse_response(cut)), F.lit(0)).alias("nodes"))
+    texts = F.array_join(F.transform(translation.parse_response(cut), lambda x: F.concat(x["inline_id"], F.lit("="), x["ru_text"])), " | ")
+    return r.select("unit_id", "source_fingerprint", texts.alias("texts"))
+
+
+PARSED_SQL = f"WITH {_RES} SELECT unit_id, source_fingerprint, coalesce(array_to_string([('i' || (i - 1) || '=' || translations[i]) for i in range(1, len(translations) + 1)], ' | '), '') AS texts FROM rs"
 
 
 def glossary_links(spark: SparkSession, d: str) -> DataFrame:
     return translation.glossary_links(_runs(spark, d), table(spark, d, "glossary_terms"))
 
 
+LINKS_SQL = f"""WITH RECURSIVE {_RUNS}, fm AS (SELECT DISTINCT term_id, unnest(list_concat([en_canonical, ru_preferred], coalesce(en_aliases, []), coalesce(ru_variants, []))) AS form FROM glossary_terms),
+ff AS (SELECT lower(form) AS low, arg_min(term_id, {{'a': form, 'b': term_id}}) AS term_id FROM fm WHERE form <> '' GROUP BY 1),
+rx AS (SELECT '(?i)(?:' || string_agg(regexp_escape(form), '|' ORDER BY length(form) DESC, form) || ')' AS rx FROM (SELECT DISTINCT form FROM fm WHERE form <> '')),
+td AS (SELECT * FROM rn WHERE length(text) > 0 AND coalesce(ru_text, '') = ''),
+st AS (SELECT doc_id, page_number, block_id, node_ord, inline_id, 0::BIGINT AS off, text AS rest, regexp_extract(text, rx) AS m, rx FROM td, rx
+ UNION ALL SELECT doc_id, page_number, block_id, node_ord, inline_id, off + instr(rest, m) - 1 + length(m), substr(rest, instr(rest, m) + length(m)), regexp_extract(substr(rest, instr(rest, m) + length(m)), rx), rx FROM st WHERE m <> ''),
+ht AS (SELECT st.*, ff.term_id, CAST(off + instr(rest, m) - 1 AS INT) AS a FROM st LEFT JOIN ff ON ff.low = lower(m) WHERE m <> ''),
+nb AS (SELECT *, row_number() OVER (PARTITION BY doc_id, page_number, term_id ORDER BY block_id, node_ord, inline_id, a) AS k FROM ht)
+SELECT doc_id, page_number, block_id, node_ord, inline_id, term_id, a AS start, CAST(a + length(m) AS INT) AS "end" FROM nb WHERE k = 1"""
+
+
 def translated_units(spark: SparkSession, d: str) -> DataFrame:
     """Planned units through the stand-in gateway."""
     return translation.translate(translation.plan_units(page_blocks(spark, d)))
 
 
+TRANSLATED_SQL = UNITS_SQL.rsplit("SELECT doc_id, page_number, printf", 1)[0] + """, un AS (SELECT doc_id, page_number, isle, part, printf('%s:u%04d_%02d', doc_id, page_number, row_number() OVER (PARTITION BY doc_id, page_number ORDER BY isle, part) - 1) AS unit_id FROM g)
+SELECT un.unit_id, printf('%s:i%03d', s.block_id, 0) AS inline_id, '[RU] ' || s.content AS ru_text, 1 AS attempt, NULL::VARCHAR AS error FROM s JOIN un ON un.doc_id = s.doc_id AND un.page_number = s.page_number AND un.isle = s.isle AND un.part = s.part"""
+
+
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
     return translation.run_summary(table(spark, d, "translated_nodes").distinct())
 
@@ -233,6 +252,12 @@ def search(spark: SparkSession, d: str) -> DataFrame:
     return enrich.search(enrich.search_documents(page_blocks(spark, d)), "storm lantern").withColumn("score", F.round("score", 6))
 
 
+FOUND_SQL = f"""WITH {_SD}, k AS (SELECT block_id AS key, list_filter(string_split_regex(lower(content), '[^\\p{{L}}\\p{{N}}]+'), lambda w: w <> '') AS toks FROM sd),
+st AS (SELECT count(*) AS n, avg(len(toks)) AS mean FROM k), e AS (SELECT key, len(toks) AS len, unnest(toks) AS w FROM k),
+h AS (SELECT key, len, w, count(*) AS tf FROM e WHERE w IN ('storm', 'lantern') GROUP BY ALL), f AS (SELECT w, count(*) AS df FROM h GROUP BY w)
+SELECT key, round(sum(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * len / mean))), 6) AS score FROM h JOIN f USING (w), st GROUP BY key ORDER BY score DESC, key LIMIT 10"""
+
+
 def quality_issues(spark: SparkSession, d: str) -> DataFrame:
     return quality.with_ids(_issues(spark, d))
 
@@ -367,6 +392,15 @@ def split_symbols(spark: SparkSession, d: str) -> DataFrame:
     return parts.select("doc_id", "inline_id", F.array_join(F.transform("parts", lambda p: F.concat(F.left(p["kind"], F.lit(1)), F.lit(":"), p["value"])), "|").alias("parts"))
 
 
+def _cut(s: str, symbol: str, token: str) -> str:
+    """SQL of one step of the split: ``s`` is a pair of what is done and what is left."""
+    return f"list_transform([{s}], lambda q: CASE WHEN instr(q[2], '{token}') > 0 THEN [q[1] || CASE WHEN instr(q[2], '{token}') > 1 THEN '|t:' || left(q[2], CAST(instr(q[2], '{token}') - 1 AS INT)) ELSE '' END || '|s:{symbol}', substr(q[2], instr(q[2], '{token}') + {len(token)})] ELSE q END)[1]"
+
+
+SPLIT_SQL = f"""WITH {_RUNS}, s AS (SELECT doc_id, inline_id, {_cut(_cut("['', text]", 'sym.storm', 'storm'), 'sym.lantern', 'lantern')} AS s FROM rn WHERE text IS NOT NULL)
+SELECT doc_id, inline_id, substr(s[1] || CASE WHEN s[2] <> '' THEN '|t:' || s[2] ELSE '' END, 2) AS parts FROM s"""
+
+
 def event_windows(spark: SparkSession, d: str) -> DataFrame:
     """Events by type and hour (an extension; the same function serves the stream)."""
     return events.hourly(table(spark, d, "events"))
@@ -385,15 +419,15 @@ QUERIES = {
     "coverage": (coverage, COVERAGE_SQL),
     "locked_terms": (locked_terms, LOCKED_SQL),
     "placeholders": (placeholders, PLACEHOLDERS_SQL),
-    "parsed_responses": (parsed_responses, None),
-    "glossary_links": (glossary_links, None),
-    "translated_units": (translated_units, None),
+    "parsed_responses": (parsed_responses, PARSED_SQL),
+    "glossary_links": (glossary_links, LINKS_SQL),
+    "translated_units": (translated_units, TRANSLATED_SQL),
     "run_summary": (run_summary, RUN_SQL),
     "navigation_tree": (navigation_tree, NAV_SQL),
     "navigation_entries": (navigation_entries, ENTRIES_SQL),
     "search_documents": (search_documents, SEARCH_SQL),
     "index_manifest": (index_manifest, MANIFEST_SQL),
-    "search": (search, None),
+    "search": (search, FOUND_SQL),
     "quality_issues": (quality_issues, ISSUES_SQL),
     "quality_by_category": (quality_by_category, CATEGORY_SQL),
     "quality_gate": (quality_gate, GATE_SQL),
@@ -407,6 +441,6 @@ QUERIES = {
     "public_pages": (public_pages, PUBLIC_SQL),
     "contents": (contents, CONTENTS_SQL),
     "block_html": (block_html, HTML_SQL),
-    "split_symbols": (split_symbols, None),
+    "split_symbols": (split_symbols, SPLIT_SQL),
     "event_windows": (event_windows, EVENTS_SQL),
 }

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable, Mapping
+from functools import reduce
+from typing import NamedTuple
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -80,6 +84,44 @@ def symbol_anchors(symbols: DataFrame) -> DataFrame:
     return _issue(symbols.where(F.trim(F.coalesce("symbol_id", F.lit(""))) == ""), "symbol.anchor_validity", "error", "symbol", "primitive_id", "symbol without id")
 
 
+class Rule(NamedTuple):
+    """A rule and the tables that it takes, in order."""
+
+    run: Callable[..., DataFrame]
+    needs: tuple[str, ...]
+
+
+#: Every rule by its name.
+RULES: dict[str, Rule] = {
+    "translation.missing": Rule(missing_translation, ("runs",)),
+    "translation.empty": Rule(empty_translation, ("runs",)),
+    "confidence.low_page": Rule(low_confidence, ("pages",)),
+    "entity.figure_caption_linkage": Rule(caption_links, ("blocks",)),
+    "entity.table_structure": Rule(table_structure, ("tables",)),
+    "entity.callout_structure": Rule(callout_structure, ("blocks",)),
+    "extraction.region_graph": Rule(region_graph, ("regions", "edges")),
+    "extraction.reading_order": Rule(order_checks, ("regions", "reading_order")),
+    "symbol.anchor_validity": Rule(symbol_anchors, ("symbols",)),
+}
+
+
+def evaluate(tables: Mapping[str, DataFrame], only: Iterable[str] | None = None, rules: Mapping[str, Rule] | None = None) -> DataFrame:
+    """Issues with ids of all ``rules`` (of those named in ``only``) whose tables are there.
+
+    A rule that is named and lacks a table, or is not known, is an error.
+    """
+    known = RULES if rules is None else rules
+    names = [*known] if only is None else [*only]
+    if lost := [n for n in names if n not in known]:
+        raise KeyError(f"unknown rules: {', '.join(lost)}")
+    ready = [n for n in names if all(t in tables for t in known[n].needs)]
+    if only is not None and len(ready) < len(names):
+        raise KeyError(f"tables are missing for {', '.join(n for n in names if n not in ready)}")
+    if not ready:
+        raise ValueError("no rule has its tables")
+    return with_ids(reduce(DataFrame.unionByName, [known[n].run(*(tables[t] for t in known[n].needs)) for n in ready]))
+
+
 def with_ids(issues: DataFrame) -> DataFrame:
     return issues.withColumn("issue_id", issue_id(F.col("rule_id"), F.col("severity"), F.col("message"), F.col("page_number"), F.col("item")))
 

@@ -101,11 +101,12 @@ ORDER_SQL = f"WITH {sql.ORDER} SELECT doc_id, page_number, sequence_index, regio
 
 
 def unassigned_regions(spark: SparkSession, d: str) -> DataFrame:
+    """Regions without a place in an order of which the second band was lost."""
     r = layout.regions(prims(spark, d))
-    return layout.unassigned(r, layout.reading_order(r))
+    return layout.unassigned(r, layout.reading_order(r).where("band_index <> 1"))
 
 
-UNASSIGNED_SQL = f"WITH {sql.ORDER} SELECT doc_id, page_number, region_id FROM r WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.doc_id = r.doc_id AND o.page_number = r.page_number AND o.region_id = r.region_id) AND NOT (kind_hint = 'band' AND EXISTS (SELECT 1 FROM cc WHERE cc.doc_id = r.doc_id AND cc.page_number = r.page_number AND cc.band_index = r.band_index))"
+UNASSIGNED_SQL = f"WITH {sql.ORDER} SELECT doc_id, page_number, region_id FROM r WHERE NOT EXISTS (SELECT 1 FROM o WHERE o.band_index <> 1 AND o.doc_id = r.doc_id AND o.page_number = r.page_number AND o.region_id = r.region_id) AND NOT (kind_hint = 'band' AND EXISTS (SELECT 1 FROM cc WHERE cc.doc_id = r.doc_id AND cc.page_number = r.page_number AND cc.band_index = r.band_index))"
 
 
 def page_confidence(spark: SparkSession, d: str) -> DataFrame:

@@ -181,16 +181,10 @@ def document_stages() -> Registry:
         return own.select(*page, "block_id", "route", F.col("block_id").alias("inline_id"), F.col("content").alias("text"), "ru_text")
 
     def issues(t):
-        q = quality
         refs = t["symbol_refs"].withColumnRenamed("block_id", "primitive_id")
-        rules = [
-            q.missing_translation(nodes(t).where("route <> 'facsimile'")), q.empty_translation(nodes(t)), q.low_confidence(t["pages"]), q.caption_links(t["resolved"]),
-            q.callout_structure(t["resolved"]), q.region_graph(t["regions"], t["edges"]), q.order_checks(t["regions"], t["reading_order"]), q.symbol_anchors(refs),
-        ]
-        every = rules[0]
-        for rule in rules[1:]:
-            every = every.unionByName(rule)
-        return q.with_ids(every)
+        shown = quality.evaluate({"runs": nodes(t).where("route <> 'facsimile'")}, ["translation.missing"])
+        rest = {"runs": nodes(t), "pages": t["pages"], "blocks": t["resolved"], "regions": t["regions"], "edges": t["edges"], "reading_order": t["reading_order"], "symbols": refs}
+        return shown.unionByName(quality.evaluate(rest, [n for n in quality.RULES if n not in ("translation.missing", "entity.table_structure")]))
 
     def glossary(t):
         runs = t["localized"].where(F.col("content").isNotNull() & (F.col("kind") != "list"))

@@ -201,7 +201,7 @@ def translated_units(spark: SparkSession, d: str) -> DataFrame:
     return translation.translate(translation.plan_units(page_blocks(spark, d)))
 
 
-TRANSLATED_SQL = UNITS_SQL.rsplit("SELECT doc_id, page_number, printf", 1)[0] + """, un AS (SELECT doc_id, page_number, isle, part, printf('%s:u%04d_%02d', doc_id, page_number, row_number() OVER (PARTITION BY doc_id, page_number ORDER BY isle, part) - 1) AS unit_id FROM g)
+TRANSLATED_SQL = UNITS_SQL.replace("// 3 AS part", f"// {translation.MAX_NODES} AS part").rsplit("SELECT doc_id, page_number, printf", 1)[0] + """, un AS (SELECT doc_id, page_number, isle, part, printf('%s:u%04d_%02d', doc_id, page_number, row_number() OVER (PARTITION BY doc_id, page_number ORDER BY isle, part) - 1) AS unit_id FROM g)
 SELECT un.unit_id, printf('%s:i%03d', s.block_id, 0) AS inline_id, '[RU] ' || s.content AS ru_text, 1 AS attempt, NULL::VARCHAR AS error FROM s JOIN un ON un.doc_id = s.doc_id AND un.page_number = s.page_number AND un.isle = s.isle AND un.part = s.part"""
 
 
@@ -298,6 +298,56 @@ SELECT 'extraction.reading_order' AS rule_id, 'error' AS severity, 'extraction'
 UNION ALL SELECT 'extraction.reading_order', 'warning', 'extraction', doc_id, page_number, region_id, 'region is not in the order' FROM (SELECT *, max(CASE WHEN kind_hint = 'column' THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id, page_number, band_index) = 1 AS has_columns FROM r) r WHERE NOT EXISTS (SELECT 1 FROM lo WHERE lo.doc_id = r.doc_id AND lo.page_number = r.page_number AND lo.region_id = r.region_id) AND NOT (kind_hint = 'band' AND has_columns)"""
 
 
+def _planted(spark: SparkSession, d: str) -> dict[str, DataFrame]:
+    """Tables of pages with one defect or another in each, made from places of blocks so that every rule has something to say."""
+    w = Window.partitionBy("doc_id", "page_number").orderBy("block_ord")
+    o, n = F.col("block_ord"), F.col("page_number")
+    b = page_blocks(spark, d).withColumns({"after": F.lead("block_id").over(w), "before": F.lag("block_id").over(w)}).where(F.col("page_number").isNotNull())
+    kind = F.when(o % 5 == 0, "figure").when(o % 5 == 1, "caption").when(o % 5 == 2, "callout").otherwise("paragraph")
+    caption = F.when((o % 5 == 0) & (o % 2 == 0), F.col("after")).when(o % 5 == 0, F.concat("block_id", F.lit(":gone")))
+    parent = F.when((o % 5 == 1) & (o % 3 == 0), F.col("after")).when((o % 5 == 1) & (o % 3 == 1), F.col("before")).when(o % 5 == 1, "none")
+    blocks = b.select("doc_id", "page_number", "block_id", kind.alias("kind"), F.when(o % 2 == 1, F.col("content")).alias("content"), caption.alias("caption_block_id"), parent.alias("parent_block_id"))
+    cell = lambda r, c: F.struct(r.cast("int").alias("row"), F.lit(c).alias("col"))
+    tables = b.where(o % 7 == 3).select("doc_id", "page_number", "block_id", (o % 3 + 1).alias("rows"), F.lit(2).alias("cols"), F.when(n % 2 == 1, F.array(cell(F.lit(0), 0), cell(o % 4, 1))).alias("cells"))
+    regions = b.select("doc_id", "page_number", F.col("block_id").alias("region_id"), F.lit("band").alias("kind_hint"), o.alias("band_index"))
+    edges = b.select("doc_id", "page_number", F.col("block_id").alias("src"), F.when(o % 6 == 5, F.col("block_id")).when(o % 6 == 4, "nowhere").otherwise(F.coalesce("after", "block_id")).alias("dst"))
+    order = regions.where(F.col("band_index") % 4 != 3).select("doc_id", "page_number", F.when(F.col("band_index") % 6 == 2, F.concat("region_id", F.lit(":x"))).otherwise(F.col("region_id")).alias("region_id"), F.col("band_index").alias("sequence_index"))
+    route = F.when(n % 3 == 0, "hybrid").when(n % 3 == 1, "facsimile").otherwise("semantic")
+    symbols = b.select("doc_id", "page_number", F.col("block_id").alias("primitive_id"), F.when(o % 4 == 0, "").when(o % 4 == 2, "  ").when(o % 4 == 3, "sym.x").alias("symbol_id"))
+    return {"blocks": blocks, "tables": tables, "regions": regions.unionByName(regions.where("band_index % 6 = 3")), "edges": edges, "reading_order": order, "pages": b.select("doc_id", "page_number", route.alias("route")).distinct(), "symbols": symbols, "runs": _runs(spark, d)}
+
+
+def rule_issues(spark: SparkSession, d: str) -> DataFrame:
+    """All nine rules over pages with planted defects."""
+    return quality.evaluate(_planted(spark, d))
+
+
+RULES_SQL = f"""WITH {_IS}, {sql.BLOCKS},
+b AS (SELECT *, lead(block_id) OVER w AS after, lag(block_id) OVER w AS before FROM pb WINDOW w AS (PARTITION BY doc_id, page_number ORDER BY block_ord)),
+k AS (SELECT doc_id, page_number, block_id, block_ord AS o, CASE o % 5 WHEN 0 THEN 'figure' WHEN 1 THEN 'caption' WHEN 2 THEN 'callout' ELSE 'paragraph' END AS kind, CASE WHEN o % 2 = 1 THEN content END AS content, after,
+ CASE WHEN o % 5 = 0 THEN CASE WHEN o % 2 = 0 THEN after ELSE block_id || ':gone' END END AS cap, CASE WHEN o % 5 = 1 THEN CASE o % 3 WHEN 0 THEN after WHEN 1 THEN before ELSE 'none' END END AS par FROM b WHERE page_number IS NOT NULL),
+tb AS (SELECT doc_id, page_number, block_id, o % 3 + 1 AS rows_, CASE WHEN page_number % 2 = 1 THEN [{{'r': 0, 'c': 0}}, {{'r': o % 4, 'c': 1}}] ELSE [] END AS cells FROM k WHERE o % 7 = 3),
+ed AS (SELECT doc_id, page_number, block_id AS src, CASE WHEN o % 6 = 5 THEN block_id WHEN o % 6 = 4 THEN 'nowhere' ELSE coalesce(after, block_id) END AS dst FROM k),
+od AS (SELECT doc_id, page_number, CASE WHEN o % 6 = 2 THEN block_id || ':x' ELSE block_id END AS region_id, o FROM k WHERE o % 4 <> 3),
+q(rule_id, severity, category, doc_id, page_number, item, message) AS (SELECT rule_id, severity, category, doc_id, page_number, item, message FROM iss
+ UNION ALL SELECT DISTINCT 'confidence.low_page', CASE page_number % 3 WHEN 0 THEN 'warning' ELSE 'info' END, 'confidence', doc_id, page_number, CASE page_number % 3 WHEN 0 THEN 'hybrid' ELSE 'facsimile' END, 'page is not rendered semantically' FROM k WHERE page_number % 3 < 2
+ UNION ALL SELECT 'entity.figure_caption_linkage', 'error', 'entity', doc_id, page_number, block_id, 'caption does not exist' FROM k WHERE cap IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k x WHERE x.doc_id = k.doc_id AND x.page_number = k.page_number AND x.block_id = k.cap)
+ UNION ALL SELECT 'entity.figure_caption_linkage', 'error', 'entity', doc_id, page_number, block_id, 'parent does not exist' FROM k WHERE par IS NOT NULL AND NOT EXISTS (SELECT 1 FROM k x WHERE x.doc_id = k.doc_id AND x.page_number = k.page_number AND x.block_id = k.par)
+ UNION ALL SELECT 'entity.figure_caption_linkage', 'error', 'entity', k.doc_id, k.page_number, k.block_id, 'parent is neither figure nor table' FROM k JOIN k x ON x.doc_id = k.doc_id AND x.page_number = k.page_number AND x.block_id = k.par WHERE x.kind NOT IN ('figure', 'table')
+ UNION ALL SELECT 'entity.table_structure', 'error', 'entity', doc_id, page_number, block_id, 'dimensions without cells' FROM tb WHERE len(cells) = 0
+ UNION ALL SELECT 'entity.table_structure', 'error', 'entity', doc_id, page_number, block_id, 'cell out of bounds' FROM (SELECT *, unnest(cells) AS c FROM tb) WHERE c.r >= rows_ OR c.c >= 2
+ UNION ALL SELECT 'entity.callout_structure', 'warning', 'entity', doc_id, page_number, block_id, 'callout without content' FROM k WHERE kind = 'callout' AND coalesce(content, '') = ''
+ UNION ALL SELECT 'extraction.region_graph', 'error', 'extraction', doc_id, page_number, block_id, 'region id is not unique' FROM k WHERE o % 6 = 3
+ UNION ALL SELECT 'extraction.region_graph', 'error', 'extraction', doc_id, page_number, dst, 'dst of an edge does not exist' FROM ed WHERE dst = 'nowhere'
+ UNION ALL SELECT 'extraction.region_graph', 'error', 'extraction', doc_id, page_number, src, 'edge onto itself' FROM ed WHERE src = dst
+ UNION ALL SELECT 'extraction.reading_order', 'error', 'extraction', doc_id, page_number, 'order', 'sequence is not contiguous' FROM od GROUP BY ALL HAVING min(o) <> 0 OR max(o) <> count(*) - 1 OR count(DISTINCT o) <> count(*)
+ UNION ALL SELECT 'extraction.reading_order', 'error', 'extraction', doc_id, page_number, region_id, 'unknown region' FROM od WHERE o % 6 = 2
+ UNION ALL SELECT 'extraction.reading_order', 'warning', 'extraction', doc_id, page_number, block_id, 'region is not in the order' FROM k WHERE o % 4 = 3 OR o % 6 = 2
+ UNION ALL SELECT 'extraction.reading_order', 'warning', 'extraction', doc_id, page_number, block_id, 'region is not in the order' FROM k WHERE o % 6 = 3 AND o % 4 = 3
+ UNION ALL SELECT 'symbol.anchor_validity', 'error', 'symbol', doc_id, page_number, block_id, 'symbol without id' FROM k WHERE o % 4 < 3)
+SELECT *, 'qa-' || substr(sha256(concat_ws(':', rule_id, severity, message, 'p' || page_number, item)), 1, 12) AS issue_id FROM q"""
+
+
 def glossary_drawer(spark: SparkSession, d: str) -> DataFrame:
     """References with their term, unknown terms without."""
     refs = table(spark, d, "inline_nodes").where("kind = 'glossary_ref'").select("doc_id", "inline_id", "term_id", "surface_form").distinct()
@@ -432,6 +482,7 @@ QUERIES = {
     "quality_by_category": (quality_by_category, CATEGORY_SQL),
     "quality_gate": (quality_gate, GATE_SQL),
     "graph_issues": (graph_issues, GRAPH_SQL),
+    "rule_issues": (rule_issues, RULES_SQL),
     "glossary_drawer": (glossary_drawer, DRAWER_SQL),
     "spaced_text": (spaced_text, SPACED_SQL),
     "routes": (routes, ROUTES_SQL),

@@ -37,9 +37,17 @@ def gutters(banded: DataFrame, gutter: float = GUTTER) -> DataFrame:
 
 
 def columns(banded: DataFrame, gutter: float = GUTTER) -> DataFrame:
-    """Adds ``column_index`` (0 or 1; NULL where the band has one column)."""
-    cut = gutters(banded, gutter)
-    return banded.join(cut, [*PAGE, "band_index"], "left").withColumn("column_index", F.when(F.col("gutter_x").isNotNull(), F.when((F.col("x0") + F.col("x1")) / 2 < F.col("gutter_x"), 0).otherwise(1))).drop("gutter_x")
+    """Adds ``column_index`` (0 or 1; NULL where the band has one column), by the gutter of :func:`gutters`.
+
+    Windows over the bands of a page: what is partitioned by page is not shuffled again.
+    """
+    band = Window.partitionBy(*PAGE, "band_index")
+    reach = F.max("x1").over(band.orderBy("x0", "x1", "primitive_id").rowsBetween(Window.unboundedPreceding, -1))
+    x0 = F.col("x0")
+    gaps = banded.withColumn("__reach", reach).withColumn("__gap", F.when(x0 > F.col("__reach"), F.struct((x0 - F.col("__reach")).alias("gap"), (-x0).alias("left"), ((F.col("__reach") + x0) / 2).alias("x"))))
+    best = gaps.withColumn("__best", F.max("__gap").over(band))
+    side = F.when((x0 + F.col("x1")) / 2 < F.col("__best.x"), 0).otherwise(1)
+    return best.withColumn("column_index", F.when(F.col("__best.gap") >= gutter, side)).drop("__reach", "__gap", "__best")
 
 
 def _boxes() -> list:
@@ -80,30 +88,39 @@ def regions(primitives: DataFrame, gap: float = GAP, gutter: float = GUTTER) ->
     a table of one cell that is mostly text is a callout.
     """
     banded = columns(bands(primitives, gap), gutter)
-    band = banded.groupBy(*PAGE, "band_index").agg(*_boxes(), F.greatest(F.count_distinct("column_index"), F.lit(1)).cast("int").alias("column_count"))
-    width = band.select(*PAGE, "band_index", (F.col("x1") - F.col("x0")).alias("band_width"))
-    cols = banded.where(F.col("column_index").isNotNull()).groupBy(*PAGE, "band_index", "column_index").agg(*_boxes()).join(width, [*PAGE, "band_index"])
-    side = (F.col("band_width") > 0) & ((F.col("x1") - F.col("x0")) / F.col("band_width") < SIDEBAR)
-    own = F.array("primitive_id").alias("sources")
-    base = [*PAGE, "band_index", "x0", "y0", "x1", "y1"]
-    none = F.lit(None).cast("int")
-    a = band.select(*base, "sources", F.lit("band").alias("kind_hint"), none.alias("column_index"), "column_count", F.lit(0.9).alias("confidence"), F.lit(0).alias("rank"), F.lit(0).alias("ord"))
-    b = cols.select(*base, "sources", F.when(side, "sidebar").otherwise("column").alias("kind_hint"), "column_index", none.alias("column_count"), F.when(side, 0.7).otherwise(0.85).alias("confidence"), F.lit(1).alias("rank"), F.col("column_index").alias("ord"))
-    figure = banded.where(F.col("kind") == "image").select(*base, own, F.lit("figure").alias("kind_hint"), none.alias("column_index"), none.alias("column_count"), F.lit(0.8).alias("confidence"), F.lit(2).alias("rank"), F.col("prim_ord").alias("ord"))
-    texts = banded.where(F.col("kind") == "text").select(*[F.col(c).alias("t_" + c) for c in base])
+    kind, none = F.col("kind"), F.lit(None)
+    slot = lambda rank, ord_, own=none.cast("string"): F.struct(F.lit(rank).alias("rank"), ord_.alias("ord"), own.alias("own"))
+    pid, number = F.col("primitive_id"), F.col("prim_ord")
+    # A primitive is part of its band, of its column and, unless it is a text, a region of its own.
+    slots = F.array_compact(F.array(
+        slot(0, F.lit(0)), F.when(F.col("column_index").isNotNull(), slot(1, F.col("column_index"))),
+        F.when(kind == "image", slot(2, number, pid)).when(kind == "table", slot(3, number, pid)).when(kind == "drawing", slot(4, number, pid)),
+    ))
+    parts = banded.select("*", F.explode(slots).alias("__slot")).select("*", "__slot.*")
+    two = F.coalesce(F.max("column_index") - F.min("column_index"), F.lit(0)) + 1
+    only = [F.max(c).alias(c) for c in ("rows", "cols", "cell_count", "extraction_strategy")]
+    every = parts.groupBy(*PAGE, "band_index", "rank", "ord", "own").agg(*_boxes(), two.cast("int").alias("column_count"), *only)
+    on = [*PAGE, "own"]
+    texts = banded.where(kind == "text").select(*[F.col(c).alias("t_" + c) for c in (*PAGE, "band_index", "x0", "y0", "x1", "y1")])
     same = [F.col(c) == F.col("t_" + c) for c in (*PAGE, "band_index")]
-    tabs = banded.where(F.col("kind") == "table").alias("b").join(texts, same, "left")
-    tabs = tabs.groupBy(*base, "primitive_id", "prim_ord", "rows", "cols", "cell_count", "extraction_strategy").agg(F.avg(F.when(g.contains(g.box(), g.box("t_")), 1.0).otherwise(0.0)).alias("text_overlap")).withColumn("confidence", table_confidence())
-    box = (F.col("rows") <= 1) & (F.col("cols") <= 1) & (F.col("text_overlap") > 0) & (F.col("confidence") < 0.5)
-    table = tabs.select(*base, own, F.when(box, "callout").otherwise("table").alias("kind_hint"), none.alias("column_index"), none.alias("column_count"), F.when(box, 0.55).otherwise(F.col("confidence")).alias("confidence"), F.lit(3).alias("rank"), F.col("prim_ord").alias("ord"))
-    held = enclosures(primitives)
+    overlap = banded.where(kind == "table").join(texts, same).groupBy(*PAGE, pid.alias("own")).agg(F.avg(F.when(g.contains(g.box(), g.box("t_")), 1.0).otherwise(0.0)).alias("text_overlap"))
+    held = enclosures(primitives).withColumnRenamed("primitive_id", "own").drop("text_ids")
+    full = every.join(overlap, on, "left").join(held, on, "left").where((F.col("rank") < 4) | F.col("texts").isNotNull()).withColumn("text_overlap", F.coalesce("text_overlap", F.lit(0.0)))
+    width = F.max(F.when(F.col("rank") == 0, F.col("x1") - F.col("x0"))).over(Window.partitionBy(*PAGE, "band_index"))
+    marked = full.withColumns({"__width": width, "__table": table_confidence()})
+    rank = F.col("rank")
+    side = (F.col("__width") > 0) & ((F.col("x1") - F.col("x0")) / F.col("__width") < SIDEBAR)
+    box = (F.col("rows") <= 1) & (F.col("cols") <= 1) & (F.col("text_overlap") > 0) & (F.col("__table") < 0.5)
     sure = F.lit(0.6) + F.when(F.col("texts") >= 3, 0.1).otherwise(0.0) + F.when(F.col("density") > 0.1, 0.05).otherwise(0.0)
-    call = banded.where(F.col("kind") == "drawing").join(held, [*PAGE, "primitive_id"]).select(*base, own, F.lit("callout").alias("kind_hint"), none.alias("column_index"), none.alias("column_count"), sure.alias("confidence"), F.lit(4).alias("rank"), F.col("prim_ord").alias("ord"))
-    every = a.unionByName(b).unionByName(figure).unionByName(table).unionByName(call)
+    hint = F.when(rank == 0, "band").when((rank == 1) & side, "sidebar").when(rank == 1, "column").when(rank == 2, "figure").when((rank == 3) & ~F.coalesce(box, F.lit(False)), "table").otherwise("callout")
+    confidence = F.when(rank == 0, 0.9).when((rank == 1) & side, 0.7).when(rank == 1, 0.85).when(rank == 2, 0.8).when((rank == 3) & F.coalesce(box, F.lit(False)), 0.55).when(rank == 3, F.col("__table")).otherwise(sure)
     n = F.row_number().over(Window.partitionBy(*PAGE).orderBy("band_index", "rank", "ord", "x0", "y0")) - 1
-    named = every.withColumn("region_id", F.format_string("reg:%d:%d", "page_number", n))
-    parent = F.first(F.when(F.col("rank") == 0, F.col("region_id")), ignorenulls=True).over(Window.partitionBy(*PAGE, "band_index"))
-    return named.withColumn("parent_region_id", F.when(F.col("rank") > 0, parent)).drop("rank", "ord")
+    named = marked.withColumn("region_id", F.format_string("reg:%d:%d", "page_number", n))
+    parent = F.first(F.when(rank == 0, F.col("region_id")), ignorenulls=True).over(Window.partitionBy(*PAGE, "band_index"))
+    return named.select(
+        *PAGE, "band_index", "x0", "y0", "x1", "y1", "sources", hint.alias("kind_hint"), F.when(rank == 1, F.col("ord")).alias("column_index"),
+        F.when(rank == 0, F.col("column_count")).alias("column_count"), confidence.alias("confidence"), "region_id", F.when(rank > 0, parent).alias("parent_region_id"),
+    )
 
 
 def edges(found: DataFrame) -> DataFrame:

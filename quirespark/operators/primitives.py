@@ -26,5 +26,7 @@ def complete(df: DataFrame) -> DataFrame:
 def from_text_table(texts: DataFrame) -> DataFrame:
     """Primitives of kind ``text``; repeated rows count once, ``prim_ord`` is the number at the end of the id."""
     cols = ["doc_id", "page_number", "primitive_id", "text", "line_count", "font_name", "font_size", "is_bold", "is_italic"]
-    flat = texts.select(*cols, *[F.col(f"bbox_norm.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")]).distinct()
+    flat = texts.select(*cols, *[F.col(f"bbox_norm.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    # Partitioned by page before repeats are dropped: windows and aggregates of pages need no other shuffle.
+    flat = flat.repartition("doc_id", "page_number").distinct()
     return complete(flat.withColumns({"kind": F.lit("text"), "prim_ord": F.element_at(F.split("primitive_id", ":"), -1).cast("int")}))

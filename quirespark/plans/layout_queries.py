@@ -122,6 +122,71 @@ s AS (SELECT a.doc_id, a.page_number, greatest(0, least(1, 1 - ((1 - rm) * 0.25
 SELECT doc_id, page_number, round(CAST(c AS DOUBLE), 6) AS confidence, CASE WHEN c >= 0.6 THEN 'semantic' WHEN c >= 0.3 THEN 'hybrid' ELSE 'facsimile' END AS route FROM s"""
 
 
+def _mixed(spark: SparkSession, d: str) -> DataFrame:
+    """The texts of the pages, some of them made images, tables and drawings by their number, so that every kind of region occurs."""
+    p = prims(spark, d)
+    o = F.col("prim_ord")
+    image, tab, draw = o % 11 == 3, o % 11 == 5, o % 11 == 7
+    wide = lambda c, by: F.when(draw, F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(c) + by))).when(tab & (o % 2 == 1), F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col(c) + by / 2))).otherwise(F.col(c))
+    return p.withColumns({
+        "kind": F.when(image, "image").when(tab, "table").when(draw, "drawing").otherwise("text"), "x0": wide("x0", -0.5), "y0": wide("y0", -0.06), "x1": wide("x1", 0.5), "y1": wide("y1", 0.06),
+        "rows": F.when(tab, o % 3 + 1).cast("int"), "cols": F.when(tab, F.floor(o / 3) % 2 + 1).cast("int"), "cell_count": F.when(tab, (o % 3 + 1) * (F.floor(o / 3) % 2 + 1)).cast("int"),
+        "extraction_strategy": F.when(tab, F.when(o % 4 < 2, "lines_strict").when(o % 4 == 2, "lines").otherwise("text")), "is_decorative": F.when(draw, o % 4 == 0), "content_hash": F.when(image, F.sha2("primitive_id", 256)),
+    })
+
+
+_WIDE = "CASE WHEN {c}k = 'drawing' THEN greatest(0.0, least(1.0, {c} {by})) WHEN {c}k = 'table' AND prim_ord % 2 = 1 THEN greatest(0.0, least(1.0, {c} {half})) ELSE {c} END AS {c}"
+_KIND = "CASE prim_ord % 11 WHEN 3 THEN 'image' WHEN 5 THEN 'table' WHEN 7 THEN 'drawing' ELSE 'text' END"
+_GROWN = ", ".join(_WIDE.format(c=c, by=by, half=half).replace(f"{c}k", _KIND) for c, by, half in (("x0", "- 0.5", "- 0.25"), ("y0", "- 0.06", "- 0.03"), ("x1", "+ 0.5", "+ 0.25"), ("y1", "+ 0.06", "+ 0.03")))
+_MIXED = sql.PRIMS.replace("p AS", "pp AS", 1) + f""", p AS (SELECT * EXCLUDE (x0, y0, x1, y1), {_GROWN}, {_KIND} AS kind, prim_ord % 3 + 1 AS rows_, prim_ord // 3 % 2 + 1 AS cols_, CASE WHEN prim_ord % 4 < 2 THEN 0.9 WHEN prim_ord % 4 = 2 THEN 0.8 ELSE 0.7 END AS base, prim_ord % 4 = 0 AS decor FROM pp)"""
+_INSIDE = "{a}.x0 <= t.x0 AND {a}.y0 <= t.y0 AND {a}.x1 >= t.x1 AND {a}.y1 >= t.y1"
+_AREA = "(greatest({a}.x1 - {a}.x0, 0) * greatest({a}.y1 - {a}.y0, 0))"
+_PARTS = f""", tb AS (SELECT a.doc_id, a.page_number, a.band_index, a.primitive_id, a.prim_ord, a.x0, a.y0, a.x1, a.y1, a.rows_, a.cols_, any_value(a.base) AS base, coalesce(avg(CASE WHEN {_INSIDE.format(a='a')} THEN 1.0 ELSE 0.0 END) FILTER (t.primitive_id IS NOT NULL), 0) AS ov
+ FROM c a LEFT JOIN c t ON t.kind = 'text' AND t.doc_id = a.doc_id AND t.page_number = a.page_number AND t.band_index = a.band_index WHERE a.kind = 'table' GROUP BY ALL),
+tc AS (SELECT *, round_even(least(1, greatest(0, base + CASE WHEN rows_ <= 1 AND cols_ <= 1 THEN -0.25 ELSE 0 END + CASE WHEN rows_ * cols_ <= 2 THEN -0.15 ELSE 0 END + CASE WHEN rows_ >= 2 AND cols_ >= 2 AND rows_ * cols_ >= 4 THEN 0.05 ELSE 0 END + CASE WHEN ov > 0.5 THEN -0.2 ELSE 0 END)), 2) AS cf FROM tb),
+td AS (SELECT *, rows_ <= 1 AND cols_ <= 1 AND ov > 0 AND cf < 0.5 AS box FROM tc),
+en AS (SELECT a.doc_id, a.page_number, a.band_index, a.prim_ord, a.primitive_id, a.x0, a.y0, a.x1, a.y1, count(*) AS n, sum({_AREA.format(a='t')}) / any_value({_AREA.format(a='a')}) AS density
+ FROM c a JOIN c t ON t.kind = 'text' AND t.doc_id = a.doc_id AND t.page_number = a.page_number AND {_INSIDE.format(a='a')} WHERE a.kind = 'drawing' AND NOT a.decor AND {_AREA.format(a='a')} >= 0.005 GROUP BY ALL),
+r0 AS (SELECT * FROM rt
+ UNION ALL SELECT doc_id, page_number, band_index, 'figure', NULL, x0, y0, x1, y1, NULL, 0.8, 2, prim_ord FROM c WHERE kind = 'image'
+ UNION ALL SELECT doc_id, page_number, band_index, CASE WHEN box THEN 'callout' ELSE 'table' END, NULL, x0, y0, x1, y1, NULL, CASE WHEN box THEN 0.55 ELSE cf END, 3, prim_ord FROM td
+ UNION ALL SELECT doc_id, page_number, band_index, 'callout', NULL, x0, y0, x1, y1, NULL, 0.6 + CASE WHEN n >= 3 THEN 0.1 ELSE 0 END + CASE WHEN density > 0.1 THEN 0.05 ELSE 0 END, 4, prim_ord FROM en)"""
+_MIXED_ORDER = (
+    sql.ORDER.replace(sql.PRIMS, _MIXED, 1).replace("r0 AS (", "rt AS (", 1).replace(",\nr1 AS", _PARTS + ",\nr1 AS", 1)
+    .replace("WHEN kind_hint = 'sidebar' THEN 'aside'", "WHEN kind_hint IN ('sidebar', 'callout') THEN 'aside'").replace("CASE WHEN kind_hint IN ('band', 'column') THEN 0 ELSE 2 END", "CASE WHEN kind_hint IN ('band', 'column') THEN 0 WHEN kind_hint IN ('figure', 'table') THEN 1 ELSE 2 END")
+)
+
+
+def mixed_regions(spark: SparkSession, d: str) -> DataFrame:
+    r = layout.regions(_mixed(spark, d))
+    return r.select("doc_id", "page_number", "region_id", "kind_hint", "band_index", "column_index", "parent_region_id", *_rounded(*R6, "confidence"))
+
+
+MIXED_REGIONS_SQL = f"WITH {_MIXED_ORDER} SELECT doc_id, page_number, region_id, kind_hint, band_index, column_index, parent_region_id, round(x0, 6) AS x0, round(y0, 6) AS y0, round(x1, 6) AS x1, round(y1, 6) AS y1, round(CAST(confidence AS DOUBLE), 6) AS confidence FROM r"
+
+
+def mixed_order(spark: SparkSession, d: str) -> DataFrame:
+    return layout.reading_order(layout.regions(_mixed(spark, d))).withColumn("confidence", F.round("confidence", 6))
+
+
+MIXED_ORDER_SQL = f"WITH {_MIXED_ORDER} SELECT doc_id, page_number, sequence_index, region_id, kind_hint, flow_role, band_index, column_index, round(CAST(confidence AS DOUBLE), 6) AS confidence FROM o"
+
+
+def mixed_confidence(spark: SparkSession, d: str) -> DataFrame:
+    """Confidence and flags of pages with every kind of region."""
+    p = _mixed(spark, d)
+    r = layout.regions(p)
+    none = p.select("doc_id", "page_number", F.lit(0.0).alias("furniture_fraction")).distinct()
+    both = layout.page_confidence(r, layout.reading_order(r), none).join(layout.canonical_flags(r), ["doc_id", "page_number"])
+    return both.select("doc_id", "page_number", *_rounded("confidence"), "route", "has_tables", "has_figures", "has_callouts", "estimated_columns")
+
+
+MIXED_CONFIDENCE_SQL = f"""WITH {_MIXED_ORDER}, a AS (SELECT doc_id, page_number, min(confidence) AS rm, count(*) AS n, coalesce(max(column_count), 1) AS cols, count(DISTINCT CASE WHEN kind_hint = 'column' THEN band_index END) AS st,
+ bool_or(kind_hint = 'table') AS ht, bool_or(kind_hint = 'figure') AS hf, bool_or(kind_hint = 'callout') AS hc FROM r GROUP BY ALL), q AS (SELECT doc_id, page_number, min(confidence) AS om, count(*) AS m FROM o GROUP BY ALL),
+s AS (SELECT a.*, greatest(0, least(1, 1 - ((1 - rm) * 0.25 + (1 - coalesce(om, 1)) * 0.25 + (n - coalesce(m, 0) - st) / n * 0.15 + CASE WHEN cols <= 1 THEN 0.0 WHEN cols = 2 THEN 0.3 ELSE 0.6 END * 0.15 + (ht::INT + hf::INT + hc::INT) * 0.2 * 0.1))) AS c FROM a LEFT JOIN q USING (doc_id, page_number))
+SELECT doc_id, page_number, round(CAST(c AS DOUBLE), 6) AS confidence, CASE WHEN c >= 0.6 THEN 'semantic' WHEN c >= 0.3 THEN 'hybrid' ELSE 'facsimile' END AS route, ht AS has_tables, hf AS has_figures, hc AS has_callouts, CAST(cols AS INT) AS estimated_columns FROM s"""
+
+
 def _pictures(spark: SparkSession, d: str) -> DataFrame:
     """Image candidates of the furniture profile as pictures of the pages that they name."""
     f = table(spark, d, "furniture_profile").where(F.col("source_primitive_kind") == "image").select("doc_id", "candidate_id", "content_hash", "bbox_norm", "page_numbers").distinct()
@@ -306,4 +371,7 @@ QUERIES = {
     "region_overlays": (region_overlays, OVERLAY_SQL),
     "wrapped_callouts": (wrapped_callouts, WRAPPED_SQL),
     "geometry": (geometry, GEOMETRY_SQL),
+    "mixed_regions": (mixed_regions, MIXED_REGIONS_SQL),
+    "mixed_order": (mixed_order, MIXED_ORDER_SQL),
+    "mixed_confidence": (mixed_confidence, MIXED_CONFIDENCE_SQL),
 }

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import geometry as g
 from ..functions import text as t
 from ..functions.ids import asset_class_id, asset_occurrence_id, symbol_candidate_id
+from .packs import standing
 
 INLINE_AREA, FIGURE_AREA = 0.01, 0.04
 
@@ -34,8 +35,10 @@ def occurrences(primitives: DataFrame, furniture: DataFrame | None = None) -> Da
     size = g.area(*g.box())
     image = F.col("kind") == "image"
     context = F.when(F.col("is_furniture"), "decoration").when(image & (size < INLINE_AREA), "inline").when(image & (size >= FIGURE_AREA), "figure").otherwise("unknown")
-    n = F.dense_rank().over(Window.partitionBy("doc_id", "kind").orderBy("class_key")) - 1
-    named = marked.withColumn("asset_id", asset_class_id(F.when(image, "raster").otherwise("vector"), n))
+    # Distinct classes are numbered, not all pictures of a document.
+    n = F.row_number().over(Window.partitionBy("doc_id", "kind").orderBy("class_key")) - 1
+    numbers = marked.select("doc_id", "kind", "class_key").distinct().withColumn("asset_id", asset_class_id(F.when(image, "raster").otherwise("vector"), n))
+    named = marked.join(numbers.withColumnRenamed("doc_id", "__doc"), (F.col("doc_id").eqNullSafe(F.col("__doc"))) & (marked["kind"] == numbers["kind"]) & (marked["class_key"] == numbers["class_key"])).select(marked["*"], "asset_id")
     k = F.row_number().over(Window.partitionBy("doc_id", "asset_id", "page_number").orderBy("prim_ord", "primitive_id")) - 1
     return named.select("doc_id", "class_key", "asset_id", asset_occurrence_id(F.col("asset_id"), F.col("page_number"), k).alias("occurrence_id"), "page_number", "primitive_id", "kind", "is_furniture", context.alias("context"))
 
@@ -48,14 +51,14 @@ def classes(occurred: DataFrame) -> DataFrame:
 def token_matches(texts: DataFrame, tokens: DataFrame) -> DataFrame:
     """Texts that hold a symbol's token (as written), with where it stands.
 
-    ``tokens(symbol_id, token)`` is a pack: a dimension of fixed size that is
-    broadcast; a token at the start and before a blank is a line prefix.
+    ``tokens(symbol_id, token)`` is a pack: a dimension of fixed size; a token at
+    the start and before a blank is a line prefix.
     """
-    at = F.contains(F.col("text"), F.col("token")) & (F.length("token") > 0)
     rest = F.substring(F.ltrim("text"), F.length("token") + 1, 1)
     prefix = F.startswith(F.ltrim("text"), F.col("token")) & ((rest == "") | F.rlike(rest, F.lit(r"^\s")))
     anchor = F.when(prefix, "line_prefix").otherwise("inline")
-    return texts.join(F.broadcast(tokens), at).select("doc_id", "page_number", "primitive_id", "prim_ord", F.lit("text_token").alias("evidence_source"), "symbol_id", F.col("token").alias("raw"), anchor.alias("anchor_type"), F.lit(True).alias("is_classified"))
+    found = standing(texts.select("doc_id", "page_number", "primitive_id", "prim_ord", "text"), "text", tokens, "token").join(tokens.select("symbol_id", "token"), "token")
+    return found.select("doc_id", "page_number", "primitive_id", "prim_ord", F.lit("text_token").alias("evidence_source"), "symbol_id", F.col("token").alias("raw"), anchor.alias("anchor_type"), F.lit(True).alias("is_classified"))
 
 
 def hash_matches(pictures: DataFrame, hashes: DataFrame, source: str = "raster_hash") -> DataFrame:
@@ -63,7 +66,7 @@ def hash_matches(pictures: DataFrame, hashes: DataFrame, source: str = "raster_h
     small = (F.col("x1") - F.col("x0") < 0.05) & (F.col("y1") - F.col("y0") < 0.05)
     key = F.when(F.col("kind") == "image", F.col("content_hash")).otherwise(drawing_shape())
     usable = pictures.where((F.col("kind") == "image") | ~F.coalesce("is_decorative", F.lit(False))).withColumn("class_key", key)
-    return usable.join(F.broadcast(hashes), "class_key").select("doc_id", "page_number", "primitive_id", "prim_ord", F.lit(source).alias("evidence_source"), "symbol_id", F.col("class_key").alias("raw"), F.when(small, "inline").otherwise("block_attached").alias("anchor_type"), F.lit(True).alias("is_classified"))
+    return usable.join(hashes, "class_key").select("doc_id", "page_number", "primitive_id", "prim_ord", F.lit(source).alias("evidence_source"), "symbol_id", F.col("class_key").alias("raw"), F.when(small, "inline").otherwise("block_attached").alias("anchor_type"), F.lit(True).alias("is_classified"))
 
 
 def dingbats(texts: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ def public_blocks(page_blocks: DataFrame, also: tuple[str, ...] = ()) -> DataFra
 
 def with_symbols(refs: DataFrame, symbols: DataFrame) -> DataFrame:
     """Label, drawing and alternative text of symbols; the reference's own text first, then label, then id."""
-    s = F.broadcast(symbols.select("symbol_id", "label", "svg_path", F.col("alt_text").alias("default_alt")))
+    s = symbols.select("symbol_id", "label", "svg_path", F.col("alt_text").alias("default_alt"))
     return refs.join(s, "symbol_id", "left").withColumn("alt", F.coalesce(F.nullif("alt_text", F.lit("")), F.nullif("default_alt", F.lit("")), F.nullif("label", F.lit("")), "symbol_id"))
 
 

@@ -8,11 +8,25 @@ from pyspark.sql import functions as F
 from ..functions import text as t
 
 
+def carried(rows: DataFrame, value, *order: str, name: str) -> DataFrame:
+    """Adds the last non-NULL ``value`` up to each row of its document, in the order of ``page_number`` and then ``order``.
+
+    The last of a page is found within the page and carried on over pages, so that
+    only a row a page of a document comes together in one place.
+    """
+    page = Window.partitionBy("doc_id", "page_number").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    marked = rows.withColumn("__v", value).withColumn("__own", F.last("__v", ignorenulls=True).over(page))
+    last = marked.groupBy("doc_id", "page_number").agg(F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(*order))).alias("__v"))
+    over = Window.partitionBy("doc_id").orderBy("page_number").rowsBetween(Window.unboundedPreceding, -1)
+    pages = last.select(F.col("doc_id").alias("__d"), F.col("page_number").alias("__p"), F.last("__v", ignorenulls=True).over(over).alias("__before"))
+    both = marked.join(pages, F.col("doc_id").eqNullSafe(F.col("__d")) & F.col("page_number").eqNullSafe(F.col("__p")))
+    return both.withColumn(name, F.coalesce("__own", "__before")).drop("__v", "__own", "__before", "__d", "__p")
+
+
 def nest(entries: DataFrame) -> DataFrame:
     """Adds ``parent``: the last entry of level 1 before an entry of a deeper level, across pages; orphans have none."""
-    w = Window.partitionBy("doc_id").orderBy("page_number", "anchor_id").rowsBetween(Window.unboundedPreceding, 0)
-    top = F.last(F.when(F.col("nav_level") == 1, F.col("anchor_id")), ignorenulls=True).over(w)
-    return entries.withColumn("parent", F.when(F.col("nav_level") > 1, top))
+    top = carried(entries, F.when(F.col("nav_level") == 1, F.col("anchor_id")), "anchor_id", name="__top")
+    return top.withColumn("parent", F.when(F.col("nav_level") > 1, F.col("__top"))).drop("__top")
 
 
 def navigation(page_blocks: DataFrame) -> DataFrame:
@@ -25,9 +39,9 @@ def navigation(page_blocks: DataFrame) -> DataFrame:
 def search_documents(page_blocks: DataFrame) -> DataFrame:
     """One row a block with text: its heading (carried across pages) and its section path (anew on each page, itself included)."""
     head = (F.col("kind") == "heading").cast("int")
-    by_doc = Window.partitionBy("doc_id").orderBy("page_number", "block_ord").rowsBetween(Window.unboundedPreceding, 0)
     by_page = Window.partitionBy("doc_id", "page_number").orderBy("block_ord").rowsBetween(Window.unboundedPreceding, 0)
-    marked = page_blocks.withColumns({"heading": F.last(F.when(head == 1, F.col("content")), ignorenulls=True).over(by_doc), "__sec": F.sum(F.when((head == 1) & (F.col("level") == 1), 1).otherwise(0)).over(by_page)})
+    headed = carried(page_blocks, F.when(head == 1, F.col("content")), "block_ord", name="heading")
+    marked = headed.withColumns({"__sec": F.sum(F.when((head == 1) & (F.col("level") == 1), 1).otherwise(0)).over(by_page)})
     in_sec = Window.partitionBy("doc_id", "page_number", "__sec").orderBy("block_ord").rowsBetween(Window.unboundedPreceding, 0)
     path = F.collect_list(F.when(F.col("kind") == "heading", F.col("content"))).over(in_sec)
     return marked.withColumn("section_path", path).where((F.trim(F.coalesce("content", F.lit(""))) != "") & (F.col("kind") != "list")).select("doc_id", "page_number", "block_id", "kind", "content", "heading", "section_path")
@@ -59,7 +73,7 @@ def search(documents: DataFrame, query: str, limit: int = 10, key: str = "block_
     stats = d.agg(F.count(F.lit(1)).alias("n"), F.avg("len").alias("avg"))
     hits = d.select("key", "len", F.explode("toks").alias("w")).where(F.col("w").isin(*words) if words else F.lit(False)).groupBy("key", "len", "w").agg(F.count(F.lit(1)).alias("tf"))
     df = hits.groupBy("w").agg(F.count(F.lit(1)).alias("df"))
-    both = hits.join(df, "w").withColumns({"n": stats.select("n").scalar(), "avg": stats.select("avg").scalar()})
+    both = hits.join(df, "w").select("*", stats.select(F.struct("n", "avg")).scalar().alias("__s")).select("key", "len", "w", "tf", "df", "__s.n", "__s.avg")
     score = F.log(1 + (F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)) * F.col("tf") * 2.2 / (F.col("tf") + 1.2 * (0.25 + 0.75 * F.col("len") / F.col("avg")))
     return both.groupBy("key").agg(F.sum(score).alias("score")).orderBy(F.desc("score"), "key").limit(limit)
 

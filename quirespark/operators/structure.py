@@ -236,10 +236,10 @@ def apply_patches(page_blocks: DataFrame, patches: DataFrame) -> DataFrame:
     """Overrides of a pack, the last one wins for each block and target.
 
     ``patches(patch_ord, target_page, target_block_id, action, value)`` is a small
-    pack and broadcast; actions are ``override_block_kind`` (heading, paragraph)
+    pack; actions are ``override_block_kind`` (heading, paragraph)
     and ``replace_text``; a NULL page stands for all, unknown actions are ignored.
     """
-    p = F.broadcast(patches)
+    p = patches
     hit = page_blocks.join(p, (F.col("block_id") == F.col("target_block_id")) & (F.col("target_page").isNull() | (F.col("target_page") == F.col("page_number"))), "left")
     pick = lambda action, ok: F.max_by(F.when((F.col("action") == action) & ok, F.col("value")), F.when((F.col("action") == action) & ok, F.col("patch_ord")))
     cols = [c for c in page_blocks.columns]
@@ -250,7 +250,7 @@ def apply_patches(page_blocks: DataFrame, patches: DataFrame) -> DataFrame:
 def page_routes(pages: DataFrame, patches: DataFrame) -> DataFrame:
     """Pages with the ``route`` that the last ``set_render_mode`` or ``force_fallback`` of a pack gives them; unknown modes are ``semantic``."""
     mode = F.when(F.col("action") == "force_fallback", "facsimile").when(F.col("value").isin("hybrid", "facsimile"), F.col("value")).otherwise("semantic")
-    p = F.broadcast(patches.where(F.col("action").isin("set_render_mode", "force_fallback")).select("patch_ord", "target_page", mode.alias("__mode")))
+    p = patches.where(F.col("action").isin("set_render_mode", "force_fallback")).select("patch_ord", "target_page", mode.alias("__mode"))
     hit = pages.join(p, F.col("target_page").isNull() | (F.col("target_page") == F.col("page_number")), "left")
     return hit.groupBy(*pages.columns).agg(F.max_by("__mode", "patch_ord").alias("__mode")).withColumn("route", F.coalesce("__mode", "route")).drop("__mode")
 

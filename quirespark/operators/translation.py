@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions import text as t
 from ..functions.ids import fingerprint, inline_id, unit_id
+from .packs import standing
 
 MAX_NODES, CONTEXT_CHARS = 20, 200
 # How tokens are estimated from characters.
@@ -31,11 +32,16 @@ def style_hint(kind: Column) -> Column:
 
 def section_paths(page_blocks: DataFrame) -> DataFrame:
     """Adds ``section_path``: headings before a block; one of level 1 starts anew, others are appended, blank ones ignored."""
-    w = Window.partitionBy(*PAGE).orderBy("block_ord").rowsBetween(Window.unboundedPreceding, -1)
-    head = F.when((F.col("kind") == "heading") & (F.trim("content") != ""), F.struct(F.coalesce("level", F.lit(2)).alias("level"), F.col("content").alias("text")))
-    kind = "array<string>"
-    path = F.aggregate(F.collect_list(head).over(w), F.array().cast(kind), lambda acc, h: F.when(h["level"] == 1, F.array(h["text"])).otherwise(F.concat(acc, F.array(h["text"]))).cast(kind))
-    return page_blocks.withColumn("section_path", path)
+    before = Window.partitionBy(*PAGE).orderBy("block_ord").rowsBetween(Window.unboundedPreceding, -1)
+    head = (F.col("kind") == "heading") & (F.trim("content") != "")
+    top = head & (F.col("level") == 1)
+    # The headings of a section are collected once for it; a block takes those that stand before it.
+    marked = page_blocks.withColumns({"__top": F.last(F.when(top, F.col("content")), ignorenulls=True).over(before), "__sec": F.coalesce(F.count(F.when(top, 1)).over(before), F.lit(0))})
+    section = Window.partitionBy(*PAGE, "__sec").orderBy("block_ord")
+    heads = F.collect_list(F.when(head, F.col("content"))).over(section.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))
+    seen = F.count(F.when(head, 1)).over(section.rowsBetween(Window.unboundedPreceding, -1)).cast("int")
+    path = F.concat(F.array_compact(F.array("__top")), F.slice("__heads", F.lit(1), F.col("__seen")))
+    return marked.withColumns({"__heads": heads, "__seen": F.coalesce(seen, F.lit(0))}).withColumn("section_path", path).drop("__top", "__sec", "__heads", "__seen")
 
 
 def plan_units(page_blocks: DataFrame, max_nodes: int = MAX_NODES, context: int = CONTEXT_CHARS) -> DataFrame:
@@ -75,12 +81,12 @@ def plan_units(page_blocks: DataFrame, max_nodes: int = MAX_NODES, context: int
 def glossary_hints(units: DataFrame, terms: DataFrame, text: str = "source") -> DataFrame:
     """``unit_id, term_id``: terms whose name or alias stands in a unit's text, case aside.
 
-    ``terms`` is a pack of fixed size (``term_id, en_canonical, en_aliases``) and
-    broadcast; a unit and a term pair once.
+    ``terms`` is a pack of fixed size (``term_id, en_canonical, en_aliases``); a
+    unit and a term pair once.
     """
     names = terms.select("term_id", F.explode(F.array_distinct(F.concat(F.array("en_canonical"), F.coalesce("en_aliases", F.array().cast("array<string>"))))).alias("name")).where(F.length("name") > 0)
     low = names.select("term_id", F.lower("name").alias("name"))
-    return units.select("unit_id", F.lower(text).alias("__low")).join(F.broadcast(low), F.contains(F.col("__low"), F.col("name"))).select("unit_id", "term_id").distinct()
+    return standing(units.select("unit_id", F.lower(text).alias("__low")), "__low", low, "name").select("unit_id", "name").join(low, "name").select("unit_id", "term_id").distinct()
 
 
 def estimate(units: DataFrame, input_price: float = 1.25, output_price: float = 10.0) -> DataFrame:
@@ -195,11 +201,11 @@ def with_fallback(*gateways: Callable[[str], str]) -> Callable[[str], str]:
 def locked_term_warnings(nodes: DataFrame, terms: DataFrame) -> DataFrame:
     """Nodes whose source holds a locked term and whose translation lacks its translation.
 
-    ``nodes(unit_id, inline_id, source_text, ru_text)``; terms are broadcast (fixed size).
+    ``nodes(unit_id, inline_id, source_text, ru_text)``; terms are a pack of fixed size.
     """
     locked = terms.where(F.col("lock_translation")).select("term_id", F.lower("en_canonical").alias("__en"), F.lower("ru_preferred").alias("__ru"))
-    low = nodes.withColumns({"__s": F.lower("source_text"), "__t": F.lower("ru_text")})
-    return low.join(F.broadcast(locked), F.contains(F.col("__s"), F.col("__en")) & ~F.contains(F.col("__t"), F.col("__ru"))).select("unit_id", "inline_id", "term_id")
+    low = nodes.select("unit_id", "inline_id", F.lower("source_text").alias("__s"), F.lower("ru_text").alias("__t"))
+    return standing(low, "__s", locked, "__en").join(locked, "__en").where(~F.contains(F.col("__t"), F.col("__ru"))).select("unit_id", "inline_id", "term_id")
 
 
 def translate(units: DataFrame, gateway: Callable[[str], str] | None = None, attempts: int = 3) -> DataFrame:
@@ -275,7 +281,7 @@ def glossary_links(runs: DataFrame, terms: DataFrame, first_only: bool = True) -
 def with_glossary(units: DataFrame, hints: DataFrame, terms: DataFrame) -> DataFrame:
     """Units with ``text_nodes`` and ``glossary_subset``, the terms of :func:`glossary_hints`, as a gateway and :func:`unit_sizes` take them."""
     pack = terms.select("term_id", F.struct(F.col("en_canonical").alias("en"), F.col("ru_preferred").alias("ru"), F.col("lock_translation").alias("locked")).alias("__t"))
-    own = hints.join(F.broadcast(pack), "term_id").groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "__t"))).alias("__ts"))
+    own = hints.join(pack, "term_id").groupBy("unit_id").agg(F.array_sort(F.collect_list(F.struct("term_id", "__t"))).alias("__ts"))
     subset = F.coalesce(F.transform("__ts", lambda x: x["__t"]), F.array().cast("array<struct<en: string, ru: string, locked: boolean>>"))
     return units.join(own, "unit_id", "left").withColumns({"text_nodes": F.col("nodes"), "glossary_subset": subset}).drop("__ts")
 

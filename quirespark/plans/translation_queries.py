@@ -79,16 +79,21 @@ t AS (SELECT doc_id, count(*) AS total_units, CAST(sum(n) AS BIGINT) AS total_te
 SELECT doc_id, total_units, total_text_nodes, i AS estimated_input_tokens, o AS estimated_output_tokens, round((i * 1.25 + o * 10.0) / 1000000, 4) AS estimated_cost_usd FROM t"""
 
 
+def _last_answers(spark: SparkSession, d: str) -> DataFrame:
+    """The answer of the last attempt for each node; of repeated ones the latest."""
+    return table(spark, d, "translated_nodes").groupBy("unit_id", "inline_id").agg(F.max_by("ru_text", F.struct("attempt", "finished_at", "ru_text")).alias("ru_text"))
+
+
 def _results(spark: SparkSession, d: str) -> DataFrame:
-    """First attempts of each unit in the order of its nodes."""
+    """Last attempts of each unit in the order of its nodes."""
     nodes = table(spark, d, "translation_units").select("unit_id", "source_fingerprint", F.posexplode("text_nodes").alias("n", "node")).select("unit_id", "source_fingerprint", "n", F.col("node.inline_id").alias("inline_id"), F.col("node.source_text").alias("s")).distinct()
-    first = table(spark, d, "translated_nodes").where("attempt = 1").groupBy("unit_id", "inline_id").agg(F.max("ru_text").alias("r"))
+    first = _last_answers(spark, d).withColumnRenamed("ru_text", "r")
     row = F.array_sort(F.collect_list(F.struct("n", F.coalesce("s", F.lit("")).alias("s"), F.coalesce("r", F.lit("")).alias("r"))))
     return nodes.join(first, ["unit_id", "inline_id"], "left").groupBy("unit_id", "source_fingerprint").agg(row.alias("rows")).select("unit_id", "source_fingerprint", F.col("rows.s").alias("sources"), F.col("rows.r").alias("translations"))
 
 
 _RES = """nd AS (SELECT DISTINCT unit_id, source_fingerprint, unnest(range(0, len(text_nodes))) AS n, unnest(text_nodes) AS node FROM translation_units),
-fa AS (SELECT unit_id, inline_id, max(ru_text) AS r FROM translated_nodes WHERE attempt = 1 GROUP BY ALL),
+fa AS (SELECT unit_id, inline_id, ru_text AS r FROM (SELECT *, row_number() OVER (PARTITION BY unit_id, inline_id ORDER BY attempt DESC, finished_at DESC NULLS LAST, ru_text DESC NULLS LAST) AS k FROM translated_nodes) WHERE k = 1),
 rs AS (SELECT nd.unit_id, nd.source_fingerprint, list(coalesce(nd.node.source_text, '') ORDER BY n) AS sources, list(coalesce(fa.r, '') ORDER BY n) AS translations, bool_or(coalesce(fa.r, '') <> '' AND coalesce(fa.r, '') <> coalesce(nd.node.source_text, '')) AS useful
  FROM nd LEFT JOIN fa ON fa.unit_id = nd.unit_id AND fa.inline_id = nd.node.inline_id GROUP BY nd.unit_id, nd.source_fingerprint),
 tm AS (SELECT source_fingerprint, arg_min(translations, unit_id) AS translations FROM rs WHERE useful AND source_fingerprint <> '' GROUP BY 1)"""
@@ -141,10 +146,10 @@ round(CASE WHEN count(*) FILTER (trim(coalesce(text, '')) <> '') > 0 THEN count(
 
 def _node_pairs(spark: SparkSession, d: str) -> DataFrame:
     nodes = table(spark, d, "translation_units").select("unit_id", F.explode("text_nodes").alias("n")).select("unit_id", F.col("n.inline_id").alias("inline_id"), F.col("n.source_text").alias("source_text")).distinct()
-    return nodes.join(table(spark, d, "translated_nodes").where("attempt = 1").select("unit_id", "inline_id", "ru_text").distinct(), ["unit_id", "inline_id"])
+    return nodes.join(_last_answers(spark, d), ["unit_id", "inline_id"])
 
 
-_NP = "np AS (SELECT DISTINCT n.unit_id, n.inline_id, n.source_text, t.ru_text FROM (SELECT DISTINCT unit_id, x.inline_id AS inline_id, x.source_text AS source_text FROM (SELECT unit_id, unnest(text_nodes) AS x FROM translation_units)) n JOIN (SELECT DISTINCT unit_id, inline_id, ru_text FROM translated_nodes WHERE attempt = 1) t USING (unit_id, inline_id))"
+_NP = "np AS (SELECT DISTINCT n.unit_id, n.inline_id, n.source_text, t.ru_text FROM (SELECT DISTINCT unit_id, x.inline_id AS inline_id, x.source_text AS source_text FROM (SELECT unit_id, unnest(text_nodes) AS x FROM translation_units)) n JOIN (SELECT unit_id, inline_id, ru_text FROM (SELECT *, row_number() OVER (PARTITION BY unit_id, inline_id ORDER BY attempt DESC, finished_at DESC NULLS LAST, ru_text DESC NULLS LAST) AS k FROM translated_nodes) WHERE k = 1) t USING (unit_id, inline_id))"
 
 
 def locked_terms(spark: SparkSession, d: str) -> DataFrame:
@@ -352,7 +357,7 @@ def glossary_drawer(spark: SparkSession, d: str) -> DataFrame:
     """References with their term, unknown terms without."""
     refs = table(spark, d, "inline_nodes").where("kind = 'glossary_ref'").select("doc_id", "inline_id", "term_id", "surface_form").distinct()
     terms = table(spark, d, "glossary_terms").select("term_id", "en_canonical", "ru_preferred")
-    return refs.join(F.broadcast(terms), "term_id", "left").select("doc_id", "inline_id", bundle.pick(F.coalesce("surface_form", F.lit("")), F.col("ru_preferred"), "ru").alias("shown"), F.col("en_canonical").isNotNull().alias("known"))
+    return refs.join(terms, "term_id", "left").select("doc_id", "inline_id", bundle.pick(F.coalesce("surface_form", F.lit("")), F.col("ru_preferred"), "ru").alias("shown"), F.col("en_canonical").isNotNull().alias("known"))
 
 
 DRAWER_SQL = """WITH r AS (SELECT DISTINCT doc_id, inline_id, term_id, surface_form FROM inline_nodes WHERE kind = 'glossary_ref')

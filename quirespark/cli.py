@@ -6,8 +6,8 @@ import argparse
 import json
 import os
 
+from . import storage
 from .plans.stages import MODES, Runner, document_stages, package, with_optional
-from .sinks.files import folder_hash
 from .sources.files import keep_pages, parse_pages
 from .sources.tables import table, version
 
@@ -46,13 +46,14 @@ def main(argv: list[str] | None = None) -> int:
     runner = Runner(spark, args.store, args.cache)
     inputs = {"texts": texts, "terms": table(spark, args.folder, "glossary_terms"), "titles": table(spark, args.folder, "doc_summaries").select("doc_id", "title_en", "title_ru")}
     read = {"texts": "text_primitives", "terms": "glossary_terms", "titles": "doc_summaries"}
-    versions = {name: f"{v}:{args.pages}" for name, source in read.items() if (v := version(args.folder, source))}
+    versions = {name: f"{v}:{args.pages}" for name, source in read.items() if (v := version(spark, args.folder, source))}
     memory = os.path.join(args.memory, "memory") if args.memory else None
-    if memory and os.path.exists(os.path.join(memory, "_SUCCESS")):
-        inputs["memory"], versions["memory"] = spark.read.parquet(memory), str(folder_hash(memory))
+    if memory and storage.exists(spark, os.path.join(memory, "_SUCCESS")):
+        inputs["memory"], versions["memory"] = spark.read.parquet(memory), str(storage.version(spark, memory))
     tables = runner.run(stages.select(args.first, args.last, args.only, args.exclude), *with_optional(spark, inputs, versions))
     if memory and "memory_new" in tables:
-        fresh = tables["memory_new"].localCheckpoint()
+        # The stage's result lies in the store or in a checkpoint: it does not read what is appended to.
+        fresh = tables["memory_new"]
         if not fresh.isEmpty():
             fresh.write.mode("append").parquet(memory)
     if args.release and {"bundle", "releases"} <= set(tables):

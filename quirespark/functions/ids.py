@@ -47,6 +47,16 @@ def fingerprint(text: Column, length: int = 16) -> Column:
     return F.substring(F.sha2(text, 256), 1, length)
 
 
+def page_fingerprint(text: Column, page: Column) -> Column:
+    """Fingerprint of the texts of a page, which its number is part of."""
+    return fingerprint(F.concat(page.cast("string"), F.lit(":"), text))
+
+
+def row_hash(*columns: Column) -> Column:
+    """SHA-256 of the JSON of the columns, in order of their names where they are sorted so; NULLs are left out."""
+    return F.sha2(F.to_json(F.struct(*columns)), 256)
+
+
 def release_id(run: Column, doc: Column) -> Column:
     return F.concat(F.lit("rel-"), fingerprint(F.concat_ws(":", run, doc), 12))
 

@@ -19,6 +19,7 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir
+from ..storage import exists
 
 MODES = ("read_write", "read_only", "write_only", "off", "force_refresh")
 
@@ -96,7 +97,7 @@ class Runner:
             done = os.path.join(path, "_SUCCESS")
             reads, writes = self.mode in ("read_write", "read_only"), self.mode in ("read_write", "write_only", "force_refresh")
             try:
-                if reads and os.path.exists(done):
+                if reads and exists(self.spark, done):
                     tables[stage.name], cache = self.spark.read.parquet(path), "hit"
                 else:
                     missing = [n for n in stage.needs if n not in tables]
@@ -151,7 +152,7 @@ def document_stages() -> Registry:
     """
     from pyspark.sql import functions as F
 
-    from ..functions.ids import fingerprint, release_id
+    from ..functions.ids import page_fingerprint, release_id
     from ..operators import assets, bundle, enrich, furniture, layout, links, primitives, quality, structure, translation
 
     reg = Registry()
@@ -212,7 +213,7 @@ def document_stages() -> Registry:
     add("pages", ("confidence", "patches"), lambda t: structure.page_routes(t["confidence"].select(*page, "confidence", "route"), t["patches"]))
     # normalize_layout
     add("blocks", ("content", "regions", "patches"), lambda t: structure.page_blocks(t["content"], t["regions"], t["patches"]))
-    add("fingerprints", ("blocks",), lambda t: t["blocks"].groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("block_ord", "content"))).alias("b")).select(*page, fingerprint(F.array_join("b.content", " ")).alias("fingerprint")))
+    add("fingerprints", ("blocks",), lambda t: t["blocks"].groupBy(*page).agg(F.array_sort(F.collect_list(F.struct("block_ord", "content"))).alias("b")).select(*page, page_fingerprint(F.array_join("b.content", " "), F.col("page_number")).alias("fingerprint")))
     # resolve_assets_symbols
     add("caption_links", ("regions", "primitives", "blocks"), lambda t: links.figure_captions(t["regions"], kind(t, "text"), t["blocks"]))
     add("resolved", ("blocks", "caption_links", "symbol_candidates", "symbols"), resolved)

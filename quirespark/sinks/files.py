@@ -5,14 +5,16 @@ from __future__ import annotations
 import hashlib
 import io
 import json
-import os
 import tarfile
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .. import storage
+
 # Extensions that may leave with a bundle.
 ASSETS = ("png", "jpeg", "jpg", "gif", "svg", "webp")
 
@@ -42,19 +44,22 @@ def inventory(df_of_files: DataFrame) -> DataFrame:
 def write_binaries(images: DataFrame, folder: str, name: str = "content_hash", content: str = "content", extension: str = "extension") -> DataFrame:
     """Each distinct content once, named by the start of its hash; returns the written paths.
 
-    Writing is idempotent: a file that exists is left, so a repeated task does no harm.
+    ``folder`` is a URI or a folder that all executors share.  Writing is
+    idempotent: a file that exists is left, so a repeated task does no harm.
     """
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        os.makedirs(folder, exist_ok=True)
+        files, base = storage.system(folder)
+        files.create_dir(base, recursive=True)
         for part in parts:
             done = []
             for key, data, ext in zip(part[name], part[content], part[extension]):
-                path = os.path.join(folder, f"{key[:16]}.{ext}")
-                if not os.path.exists(path):
-                    with open(path + ".part", "wb") as f:
+                path = f"{base}/{key[:16]}.{ext}"
+                if not files.get_file_info(path).is_file:
+                    half = f"{path}.{uuid.uuid4().hex}.part"
+                    with files.open_output_stream(half) as f:
                         f.write(data)
-                    os.replace(path + ".part", path)
+                    files.move(half, path)
                 done.append(path)
             yield pd.DataFrame({"path": done})
 
@@ -63,40 +68,52 @@ def write_binaries(images: DataFrame, folder: str, name: str = "content_hash", c
 
 
 def file_hash(path: str) -> str:
+    files, at = storage.system(path)
     digest = hashlib.sha256()
-    with open(path, "rb") as f:
-        for block in iter(lambda: f.read(1 << 20), b""):
+    with files.open_input_stream(at) as f:
+        while block := f.read(1 << 20):
             digest.update(block)
     return digest.hexdigest()
 
 
 def folder_hash(folder: str) -> str | None:
-    """SHA-256 over the sorted relative paths and contents of a folder; None where it does not exist."""
-    if not os.path.isdir(folder):
-        return None
-    digest = hashlib.sha256()
-    for base, dirs, files in os.walk(folder):
-        dirs.sort()
-        for name in sorted(files):
-            path = os.path.join(base, name)
-            digest.update(os.path.relpath(path, folder).encode())
-            digest.update(bytes.fromhex(file_hash(path)))
-    return digest.hexdigest()
+    """SHA-256 over the sorted relative paths and contents of a folder, subfolders too; None where it holds nothing."""
+    digest, any_ = hashlib.sha256(), False
+    for name, path in storage.walk(folder):
+        any_ = True
+        digest.update(name.encode())
+        digest.update(bytes.fromhex(file_hash(_whole(folder, path))))
+    return digest.hexdigest() if any_ else None
+
+
+def output_hashes(folder: str, leave_out: tuple[str, ...] = ("stage_manifest.json",)) -> dict[str, str]:
+    """SHA-256 of each file that lies in a folder itself, by name, without the manifest of its stage."""
+    return {name: file_hash(_whole(folder, path)) for name, path in storage.walk(folder) if "/" not in name and name not in leave_out}
+
+
+def _whole(folder: str, path: str) -> str:
+    """A path of a folder's file system with the folder's scheme."""
+    return f"{folder.split('://', 1)[0]}://{path.lstrip('/') if not folder.startswith('file:') else path}" if "://" in folder else path
 
 
 def release(folder: str, archive: str, manifest: dict, accepted: bool) -> dict:
-    """A tar.gz of the sorted files of a bundle with its manifest; without acceptance only the manifest."""
+    """A tar.gz of the sorted files of a bundle with its manifest; without acceptance only the manifest.
+
+    Files are read and the archive is written where ``folder`` and ``archive`` say.
+    """
     out = dict(manifest, accepted=accepted)
     if accepted:
-        with tarfile.open(archive, "w:gz") as tar:
-            for base, dirs, files in os.walk(folder):
-                dirs.sort()
-                for name in sorted(files):
-                    path = os.path.join(base, name)
-                    tar.add(path, os.path.relpath(path, folder))
-            raw = json.dumps(manifest, sort_keys=True, indent=2).encode()
+        source, _ = storage.system(folder)
+        target, at = storage.system(archive)
+        with target.open_output_stream(at) as raw_out, tarfile.open(fileobj=raw_out, mode="w|gz") as tar:
+            for name, path in storage.walk(folder):
+                info = tarfile.TarInfo(name)
+                info.size = source.get_file_info(path).size
+                with source.open_input_stream(path) as f:
+                    tar.addfile(info, f)
+            raw = json.dumps(manifest, sort_keys=True, indent=2, default=str).encode()
             info = tarfile.TarInfo("release_manifest.json")
             info.size = len(raw)
             tar.addfile(info, io.BytesIO(raw))
-        out |= {"archive": archive, "size_bytes": os.path.getsize(archive), "sha256": file_hash(archive)}
+        out |= {"archive": archive, "size_bytes": target.get_file_info(at).size, "sha256": file_hash(archive)}
     return out

@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -42,46 +40,17 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return files.select("path", F.sha2("content", 256).alias("sha256"), F.col("length").alias("file_size_bytes"), F.col("modificationTime").alias("modified_at"))
 
 
-def pdf_primitives(spark: SparkSession, path: str, pages: list[int] | None = None) -> DataFrame:
-    """Text spans of PDF files, one row each; needs the ``pymupdf`` package on the workers.
-
-    The list of pages goes into the reader, so that other pages are never opened.
-    """
-    wanted = None if pages is None else frozenset(pages)
-
-    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        import pymupdf
-
-        for part in parts:
-            rows = []
-            for name, content in zip(part["path"], part["content"]):
-                doc = pymupdf.open(stream=content, filetype="pdf")
-                for n in range(doc.page_count):
-                    if wanted is not None and n + 1 not in wanted:
-                        continue
-                    page = doc[n]
-                    width, height = page.rect.width or 1.0, page.rect.height or 1.0
-                    k = 0
-                    for block in page.get_text("dict")["blocks"]:
-                        for line in block.get("lines", ()):
-                            for span in line["spans"]:
-                                if span["text"].strip():
-                                    x0, y0, x1, y1 = span["bbox"]
-                                    flags = span["flags"]
-                                    rows.append((name, n + 1, f"text:p{n + 1:04d}:{k:03d}", k, x0 / width, y0 / height, x1 / width, y1 / height, span["text"], span["font"], round(span["size"], 2), bool(flags & 16), bool(flags & 2)))
-                                    k += 1
-            yield pd.DataFrame(rows, columns=["doc_id", "page_number", "primitive_id", "prim_ord", "x0", "y0", "x1", "y1", "text", "font_name", "font_size", "is_bold", "is_italic"])
-
-    schema = "doc_id string, page_number int, primitive_id string, prim_ord int, x0 double, y0 double, x1 double, y1 double, text string, font_name string, font_size double, is_bold boolean, is_italic boolean"
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, schema)
-
-
 def font_flags(flags):
     """Bold, italic and monospaced of the flag bits of a span."""
     bit = lambda n: flags.bitwiseAND(F.lit(1 << n)) != 0
     return F.struct(bit(4).alias("is_bold"), bit(1).alias("is_italic"), bit(0).alias("is_monospace"))
 
 
+def font_bits(flags: int) -> tuple[bool, bool, bool]:
+    """:func:`font_flags` of a number."""
+    return bool(flags & 16), bool(flags & 2), bool(flags & 1)
+
+
 def first_strategy(tables: DataFrame, order: tuple[str, ...] = ("lines_strict", "lines", "text")) -> DataFrame:
     """Of the tables that several strategies found on a page those of the first strategy that found any; NULL cells become empty."""
     rank = F.coalesce(*[F.when(F.col("extraction_strategy") == s, F.lit(k)) for k, s in enumerate(order)], F.lit(len(order)))

@@ -2,25 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
+from .. import storage
+
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The table ``name`` of ``folder``; column pruning and filters reach the scan."""
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def version(folder: str, name: str) -> str | None:
-    """Hash of path, size and modification time of the files of a table; None where they are not on a local disk."""
-    root = os.path.abspath(f"{folder}/{name}.parquet")
-    files = [os.path.join(base, f) for base, _, own in os.walk(root) for f in own] or [root] * os.path.isfile(root)
-    if not files:
-        return None
-    digest = hashlib.sha256()
-    for path in sorted(files):
-        at = os.stat(path)
-        digest.update(f"{path}|{at.st_size}|{at.st_mtime_ns}\n".encode())
-    return digest.hexdigest()
+def version(spark: SparkSession, folder: str, name: str) -> str | None:
+    """Version of the content of a table: its files, wherever they lie; None where there are none."""
+    return storage.version(spark, f"{folder}/{name}.parquet")

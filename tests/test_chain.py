@@ -81,7 +81,7 @@ def test_whole_run(spark, data, tmp_path):
 
 
 def test_inputs_are_known_by_their_files(spark, tmp_path):
-    name = lambda: version(str(tmp_path), "t")
+    name = lambda: version(spark, str(tmp_path), "t")
     assert name() is None
     spark.range(2).write.parquet(str(tmp_path / "t.parquet"))
     first = name()

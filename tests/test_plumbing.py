@@ -117,3 +117,85 @@ def test_stream_counts_like_batch(spark, tmp_path, data):
     q = once.writeStream.format("memory").queryName("once").trigger(availableNow=True).option("checkpointLocation", str(tmp_path / "cp2")).start()
     q.awaitTermination()
     assert spark.table("once").count() == table.select("event_type").distinct().count()
+
+
+class FakeRect:
+    def __init__(self, x0, y0, x1, y1):
+        self.x0, self.y0, self.x1, self.y1 = x0, y0, x1, y1
+        self.width, self.height = x1 - x0, y1 - y0
+
+
+class FakePage:
+    rotation = 90
+
+    def __init__(self, words):
+        self.words, self.rect = words, FakeRect(0, 0, 612, 792)
+
+    def get_text(self, _):
+        if self.words is None:
+            raise ValueError("broken page")
+        spans = [{"text": w, "bbox": (10 * k, 5, 10 * k + 8, 15), "font": "F-Bold", "size": 9.996, "flags": 18} for k, w in enumerate(self.words)]
+        return {"blocks": [{"type": 1}, {"type": 0, "lines": [{"spans": spans, "dir": (-1.0, 0.0)}]}]}
+
+    def get_images(self, full):
+        return [(7,)]
+
+    def get_image_rects(self, _):
+        return [FakeRect(0, 0, 10, 10), FakeRect(20, 0, 30, 10)]
+
+
+class FakeDocument:
+    metadata, page_count = {"title": "T", "author": ""}, 3
+
+    def __init__(self, content):
+        if content == b"bad":
+            raise ValueError("no document")
+
+    def __getitem__(self, k):
+        return FakePage([["Roll", "", "die"], None, ["six"]][k])
+
+    def get_toc(self):
+        return [[1, "One", 1]]
+
+    def extract_image(self, xref):
+        return {"image": b"x", "width": 2, "height": 3, "ext": "png", "cs-name": "DeviceRGB"}
+
+
+def test_documents_through_their_dictionaries(spark, tmp_path):
+    from quirespark.sources import pdf
+
+    (tmp_path / "a.pdf").write_bytes(b"good")
+    (tmp_path / "b.pdf").write_bytes(b"bad")
+    path = str(tmp_path)
+    docs = {r["doc_id"][-5:]: r for r in pdf.documents(spark, path, FakeDocument).collect()}
+    assert docs["b.pdf"]["error"] == "no document" and docs["a.pdf"]["page_count"] == 3 and docs["a.pdf"]["metadata"] == {"title": "T"} and docs["a.pdf"]["outline"][0]["title"] == "One"
+    pages = {r["page_number"]: r for r in pdf.pages(spark, path, None, FakeDocument).where("page_number is not null").collect()}
+    assert pages[1]["char_count"] == 7 and pages[1]["fonts_used"] == ["F-Bold"] and pages[1]["rotation"] == 90 and pages[2]["error"] == "broken page"
+    got = rows(pdf.spans(spark, path, None, FakeDocument), "page_number", "block_index", "span_index", "text", "font_size", "is_bold", "is_italic", "is_monospace", "direction")
+    assert got == [(1, 1, 0, "Roll", 10.0, True, True, False, "rtl"), (1, 1, 1, "die", 10.0, True, True, False, "rtl"), (3, 1, 0, "six", 10.0, True, True, False, "rtl")]
+    assert rows(pdf.spans(spark, path, [3, 9], FakeDocument), "page_number") == [(3,)]
+    assert pdf.spans(spark, path, [9], FakeDocument).count() == 0
+    assert pdf.images(spark, path, [1], FakeDocument).count() == 2
+    assert rows(pdf.primitives(spark, path, [1], FakeDocument), "primitive_id", "prim_ord", "text", "is_bold") == [("text:p0001:000", 0, "Roll", True), ("text:p0001:001", 1, "die", True)]
+
+
+def test_hashes_of_outputs(tmp_path):
+    from quirespark.sinks import files
+
+    (tmp_path / "sub").mkdir()
+    for name in ("b.json", "stage_manifest.json", "sub/c.json"):
+        (tmp_path / name).write_text(name)
+    import hashlib
+
+    assert files.output_hashes(str(tmp_path)) == {"b.json": hashlib.sha256(b"b.json").hexdigest()} and files.output_hashes(str(tmp_path / "none")) == {}
+
+
+def test_rules_registry(spark, data):
+    from quirespark.operators import quality
+    from quirespark.plans import translation_queries
+
+    issues = translation_queries.rule_issues(spark, data)
+    assert {r["rule_id"] for r in issues.select("rule_id").distinct().collect()} == set(quality.RULES)
+    for bad in (lambda: quality.evaluate({}), lambda: quality.evaluate({}, ["translation.empty"]), lambda: quality.evaluate({}, ["none"])):
+        with pytest.raises((KeyError, ValueError)):
+            bad()

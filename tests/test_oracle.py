@@ -36,10 +36,8 @@ def test_same_rows_as_sql(spark, data, duck, name):
     assert mine == theirs
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(SQL)))
-def test_other_queries_run(spark, data, name):
-    df = QUERIES[name](spark, data)
-    assert df.columns and df.count() >= 0
+def test_every_query_has_sql():
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

@@ -2,6 +2,7 @@
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from quirespark.llm import alignment, language, ngrams, pairs
 
@@ -172,6 +173,20 @@ def test_alignment(spark, data):
     assert alignment.found(df.limit(0), labels.limit(0)).count() == 0
 
 
+def test_more_pairs_of_words_than_the_driver_takes(spark, data, monkeypatch):
+    """Beyond MODEL_PAIRS no pair of words is left out: the same lexicon and the same rows."""
+    inl, nav = (spark.read.parquet(f"{data}/{t}.parquet") for t in ("inline_nodes", "navigation"))
+    inl = inl.unionByName(inl.where("page_number = 1").withColumn("page_number", F.lit(None).cast(inl.schema["page_number"].dataType)))
+    whole, want = alignment.learn(inl, nav), rows(alignment.found(inl, nav))
+    monkeypatch.setattr(alignment, "MODEL_PAIRS", 50)
+    table = alignment.learn(inl, nav)
+    lex = alignment.Lexicon({}, {}, {}, table.kinds)
+    lex.add([r.asDict() for r in table.words.collect()])
+    assert (lex.kinds, lex.weight_en, lex.weight_ru) == (whole.kinds, whole.weight_en, whole.weight_ru)
+    assert {e: {f: pytest.approx(t) for f, t in fs.items()} for e, fs in lex.gives.items()} == whole.gives
+    assert want and rows(alignment.found(inl, nav)) == want
+
+
 def page_of(spark, rows):
     return spark.createDataFrame([("d", 1, f"b{k:04d}", 0, f"i{k:04d}", a, b) for k, (a, b) in enumerate(rows)], "doc_id string, page_number int, block_id string, node_ord int, inline_id string, text string, ru_text string")
 
